@@ -7,7 +7,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.functions.measures import exact_avg, exact_sum, percentiles, safe_divide, share
+from fareloom.functions.measures import (
+    avg_rate,
+    exact_sum,
+    percentiles,
+    safe_divide,
+    share,
+)
 from fareloom.functions.months import Months, month_text, within_months
 
 
@@ -47,7 +53,7 @@ def kpi_daily_revenue(
             exact_sum(F.col("airport_fee")).alias("airport_fees"),
             exact_sum(miles).alias("miles"),
             F.sum(minutes).alias("minutes"),
-            F.avg("tip_rate").alias("tip_rate"),
+            avg_rate(F.col("tip_rate")).alias("tip_rate"),
             F.count_if(tip > 0).alias("trips_with_tip"),
             share(tip > 0).alias("tip_incidence_rate"),
             F.count_if(_paid_by("Credit Card")).alias("credit_card_trips"),

@@ -7,7 +7,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.functions.measures import exact_avg, exact_sum, percentiles, safe_divide, share
+from fareloom.functions.measures import (
+    avg_rate,
+    exact_avg,
+    exact_sum,
+    percentiles,
+    safe_divide,
+    share,
+)
 from fareloom.functions.months import (
     Months,
     day_name,
@@ -43,7 +50,7 @@ def hourly_metrics(trips: DataFrame, months: Months = None) -> DataFrame:
             F.round(exact_avg(F.col("trip_distance_miles")), 2).alias("avg_distance_miles"),
             F.round(F.avg("trip_duration_min"), 1).alias("avg_duration_min"),
             F.round(F.avg("passenger_count"), 2).alias("avg_passengers"),
-            F.round(F.avg("tip_rate"), 4).alias("avg_tip_rate"),
+            F.round(avg_rate(F.col("tip_rate")), 4).alias("avg_tip_rate"),
             share(F.col("tip_amount") > 0).alias("tip_incidence_rate"),
             share(F.col("payment_type") == "Credit Card").alias("credit_card_rate"),
         )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions import labels
-from fareloom.functions.measures import at_least, exact_avg, exact_sum, safe_divide
+from fareloom.functions.measures import at_least, avg_rate, exact_avg, exact_sum, safe_divide
 from fareloom.functions.months import (
     Months,
     day_name,
@@ -87,7 +87,7 @@ def kpi_daily_revenue_lite(trips: DataFrame, months: Months = None, as_of=None)
             averages["avg_revenue"].alias("avg_revenue_per_trip"),
             F.round(exact_sum(F.col("fare_amount")), 2).alias("total_fare"),
             F.round(exact_sum(F.col("tip_amount")), 2).alias("total_tips"),
-            F.round(F.avg("tip_rate"), 4).alias("avg_tip_rate"),
+            F.round(avg_rate(F.col("tip_rate")), 4).alias("avg_tip_rate"),
             averages["avg_distance"].alias("avg_trip_distance"),
             averages["avg_duration_min"].alias("avg_trip_duration_min"),
             F.count_if(F.col("payment_type") == "Credit Card").alias("credit_card_trips"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions import labels
-from fareloom.functions.measures import exact_avg, exact_sum, safe_divide, share
+from fareloom.functions.measures import avg_rate, exact_avg, exact_sum, safe_divide, share
 from fareloom.functions.months import Months, month_date, month_text, within_months
 from fareloom.operators.daily import stamp
 
@@ -69,7 +69,7 @@ def zone_metrics(trips: DataFrame, zones: DataFrame, months: Months = None) -> D
             exact_avg(F.col("total_amount")).alias("avg_revenue"),
             exact_avg(F.col("trip_distance_miles")).alias("avg_miles"),
             F.avg("trip_duration_min").alias("avg_minutes"),
-            F.avg("tip_rate").alias("avg_rate"),
+            avg_rate(F.col("tip_rate")).alias("avg_rate"),
             F.count_if(F.col("payment_type") == "Credit Card").alias("card_trips"),
             share(F.col("payment_type") == "Credit Card").alias("credit_card_rate"),
         )

@@ -191,6 +191,16 @@ def build_silver(
     write_silver_trips(warehouse, trips, months, full_replace)
 
 
+def kpi_tables(
+    trips: DataFrame, zones: DataFrame, months: Months = None, as_of: dt.datetime | None = None
+) -> dict[str, DataFrame]:
+    return {
+        "kpi_daily_revenue": kpi_daily_revenue(trips, months, as_of),
+        "kpi_zone_performance": kpi_zone_performance(trips, zones, months, as_of),
+        "kpi_hourly_patterns": kpi_hourly_patterns(trips, months, as_of),
+    }
+
+
 def build_gold(
     warehouse: Warehouse,
     months: Months = None,
@@ -200,12 +210,7 @@ def build_gold(
     """Rewrite the months of the three KPI tables from silver."""
     trips = warehouse.silver_trips(months)
     zones = warehouse.read("silver", "dim_zones")
-    tables = {
-        "kpi_daily_revenue": kpi_daily_revenue(trips, months, as_of),
-        "kpi_zone_performance": kpi_zone_performance(trips, zones, months, as_of),
-        "kpi_hourly_patterns": kpi_hourly_patterns(trips, months, as_of),
-    }
-    for table, rows in tables.items():
+    for table, rows in kpi_tables(trips, zones, months, as_of).items():
         write_gold(warehouse, table, rows, full_replace)
 
 

@@ -16,6 +16,11 @@ SETTINGS = {
     # Size aimed at by AQE when it merges or splits shuffle partitions, and so
     # also the size of the files written.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Small inputs are spread over all cores too. Files do not get smaller by it:
+    # tables are written from shuffles by partition value, which are never split
+    # below the size above.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     # A rewrite replaces the partitions it produces and leaves the others.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Directories of days are listed by this many tasks, not one task each.

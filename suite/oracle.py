@@ -25,6 +25,12 @@ def mean(column: str) -> str:
     return f"({total(column)} / nullif(count({column}), 0))"
 
 
+def mean_rate(column: str) -> str:
+    """Mean of a ratio added in steps of 1e-12."""
+    steps = f"sum(CAST(round_even({column} * 1000000000000, 0) AS HUGEINT))"
+    return f"(CAST({steps} AS DOUBLE) / 1000000000000 / nullif(count({column}), 0))"
+
+
 def portion(condition: str) -> str:
     return rounded(f"(count(*) FILTER ({condition}) / count(*))", 4)
 
@@ -226,7 +232,7 @@ DAILY_COLUMNS = {
     "total_tolls": rounded(total("tolls_amount"), 2),
     "total_congestion_surcharge": rounded(total("congestion_surcharge"), 2),
     "total_airport_fees": rounded(total("airport_fee"), 2),
-    "avg_tip_rate": rounded("avg(tip_rate)", 4),
+    "avg_tip_rate": rounded(mean_rate("tip_rate"), 4),
     "overall_tip_rate": rounded(
         f"({total('tip_amount')} / nullif({total('fare_amount')}, 0))", 4
     ),
@@ -267,7 +273,7 @@ ZONE_COLUMNS = {
     "total_tips": rounded(total("tip_amount"), 2),
     "avg_distance_miles": rounded(mean("trip_distance_miles"), 2),
     "avg_duration_min": rounded("avg(trip_duration_min)", 1),
-    "avg_tip_rate": rounded("avg(tip_rate)", 4),
+    "avg_tip_rate": rounded(mean_rate("tip_rate"), 4),
     "credit_card_trips": f"count(*) FILTER ({CARD})",
     "credit_card_rate": portion(CARD),
 }
@@ -308,7 +314,7 @@ HOUR_COLUMNS = {
     "avg_distance_miles": rounded(mean("trip_distance_miles"), 2),
     "avg_duration_min": rounded("avg(trip_duration_min)", 1),
     "avg_passengers": rounded("avg(passenger_count)", 2),
-    "avg_tip_rate": rounded("avg(tip_rate)", 4),
+    "avg_tip_rate": rounded(mean_rate("tip_rate"), 4),
     "tip_incidence_rate": portion("tip_amount > 0"),
     "credit_card_rate": portion(CARD),
 }
@@ -364,7 +370,7 @@ SELECT pickup_date, _execution_date, count(*) AS total_trips,
   {rounded(mean("total_amount"), 2)} AS avg_revenue_per_trip,
   {rounded(total("fare_amount"), 2)} AS total_fare,
   {rounded(total("tip_amount"), 2)} AS total_tips,
-  {rounded("avg(tip_rate)", 4)} AS avg_tip_rate,
+  {rounded(mean_rate("tip_rate"), 4)} AS avg_tip_rate,
   {rounded(mean("trip_distance_miles"), 2)} AS avg_trip_distance,
   {rounded("avg(trip_duration_min)", 1)} AS avg_trip_duration_min,
   count(*) FILTER ({CARD}) AS credit_card_trips,

@@ -60,7 +60,8 @@ def scan_raw_trips(spark, sf_dir):
 def conform_bronze_schema(spark, sf_dir):
     delivered = bronze(spark, sf_dir).withColumn("ride_id", F.lit(1)).drop("airport_fee")
     lower = delivered.toDF(*[name.lower() for name in delivered.columns])
-    return landing.conform_bronze_schema(lower.withColumn("vendorid", F.col("vendorid").cast("int")))
+    narrow = lower.withColumn("vendorid", F.col("vendorid").cast("int"))
+    return landing.conform_bronze_schema(narrow)
 
 
 def add_audit_columns(spark, sf_dir):
@@ -99,9 +100,9 @@ def write_silver_partitioned(spark, sf_dir):
 
 def write_gold_tables(spark, sf_dir):
     warehouse = tables.Warehouse(spark, scratch(spark, "gold"))
-    tables.write_silver_trips(warehouse, silver(spark, sf_dir))
-    zone_table(spark, sf_dir).write.parquet(warehouse.path("silver", "dim_zones"))
-    monthly.build_gold(warehouse, as_of=AS_OF)
+    made = monthly.kpi_tables(silver(spark, sf_dir), zone_table(spark, sf_dir), as_of=AS_OF)
+    for table, rows in made.items():
+        tables.write_gold(warehouse, table, rows)
     parts = [
         warehouse.read("gold", table)
         .groupBy(F.substring(F.col(partition).cast("string"), 1, 7).alias("month"))
