@@ -76,6 +76,15 @@ def month_date(when: Column) -> Column:
     return F.trunc(when, "MM")
 
 
+def same_month(when: Column, month: Column) -> Column:
+    """Whether a date or time lies in the month a ``YYYY-MM`` column names.
+
+    Compares numbers, which is several times cheaper than formatting every date.
+    """
+    number = F.replace(month, F.lit("-")).try_cast("int")
+    return F.year(when) * 100 + F.month(when) == number
+
+
 def within_months(when: Column, months: Months) -> Column:
     """True where a date or timestamp lies in one of the months.
 

@@ -19,6 +19,7 @@ from fareloom.functions.months import (
     Months,
     day_name,
     day_type,
+    month_date,
     month_text,
     time_of_day_segment,
     within_months,
@@ -37,7 +38,7 @@ def hourly_metrics(trips: DataFrame, months: Months = None) -> DataFrame:
     return (
         trips.where(within_months(F.col("pickup_date"), months))
         .groupBy(
-            month_text(F.col("pickup_date")).alias("month"),
+            month_date(F.col("pickup_date")).alias("month"),
             "pickup_dow",
             "pickup_hour",
         )
@@ -54,6 +55,7 @@ def hourly_metrics(trips: DataFrame, months: Months = None) -> DataFrame:
             share(F.col("tip_amount") > 0).alias("tip_incidence_rate"),
             share(F.col("payment_type") == "Credit Card").alias("credit_card_rate"),
         )
+        .withColumn("month", month_text(F.col("month")))
     )
 
 

@@ -142,7 +142,7 @@ def kpi_hourly_patterns_lite(trips: DataFrame, months: Months = None, as_of=None
     return (
         _of_months(trips, months)
         .groupBy(
-            month_text(F.col("pickup_date")).alias("month"),
+            month_date(F.col("pickup_date")).alias("month"),
             "pickup_dow",
             "pickup_hour",
             "_execution_date",
@@ -152,7 +152,7 @@ def kpi_hourly_patterns_lite(trips: DataFrame, months: Months = None, as_of=None
             *[value.alias(name) for name, value in averages.items()],
         )
         .select(
-            "month",
+            month_text(F.col("month")).alias("month"),
             "pickup_dow",
             day_name(F.col("pickup_dow")).alias("day_of_week"),
             "pickup_hour",

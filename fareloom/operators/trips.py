@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from fareloom import schemas
 from fareloom.functions import labels
 from fareloom.functions.measures import at_least, safe_divide
-from fareloom.functions.months import Months, in_months, minutes_between, month_text, within_months
+from fareloom.functions.months import (
+    Months,
+    in_months,
+    minutes_between,
+    same_month,
+    within_months,
+)
 
 SHORTEST_MINUTES, LONGEST_MINUTES = 1, 300
 LONGEST_MILES = 200
@@ -63,7 +69,7 @@ def latest_per_key(frame: DataFrame, key: tuple[str, ...]) -> DataFrame:
 def latest_trips(bronze: DataFrame, months: Months = None) -> DataFrame:
     """Newest bronze row of every trip, within each ingested month."""
     rows = bronze.where(in_months(F.col("_execution_date"), months))
-    return latest_per_key(rows, ("_execution_date", *schemas.TRIP_KEY))
+    return latest_per_key(rows, (*schemas.TRIP_KEY, "_execution_date"))
 
 
 def identity_columns() -> list[Column]:
@@ -154,7 +160,7 @@ def valid_trip_rules(months: Months = None) -> dict[str, Column]:
     every row; it is kept because it is part of the definition.
     """
     day = F.col("pickup_date")
-    expected_month = month_text(day) == F.col("_execution_date")
+    expected_month = same_month(day, F.col("_execution_date"))
     if months is not None:
         expected_month = within_months(day, months) & expected_month
     return {
@@ -204,7 +210,7 @@ def _key_rules(months: Months) -> Column:
         & dropoff().isNotNull()
         & (dropoff() > pickup())
         & minutes.between(SHORTEST_MINUTES, LONGEST_MINUTES)
-        & (month_text(pickup()) == F.col("_execution_date"))
+        & same_month(pickup(), F.col("_execution_date"))
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fareloom import schemas
 from fareloom.functions.measures import percent_text, safe_divide
-from fareloom.functions.months import Months, month_list, month_text
+from fareloom.functions.months import Months, month_list, same_month
 
 # Less than this share of rows inside the expected month makes a file invalid.
 SMALLEST_MONTH_SHARE = 0.8
@@ -45,7 +45,7 @@ def raw_month_counts(raw: DataFrame, months: Months = None) -> DataFrame:
     within each task, so one huge file moves a single row per task.
     """
     if "tpep_pickup_datetime" in raw.columns:
-        inside = month_text(F.col("tpep_pickup_datetime")) == F.col("_execution_date")
+        inside = same_month(F.col("tpep_pickup_datetime"), F.col("_execution_date"))
         in_month = F.count_if(inside)
     else:
         in_month = F.lit(None).cast("long")

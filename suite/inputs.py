@@ -43,8 +43,8 @@ def _null_when(condition: Column, value: Column) -> Column:
 
 
 def _cents(value: Column) -> Column:
-    """Whole cents; adding zero turns a negative zero into zero."""
-    return F.round(value) / 100 + 0.0
+    """A value of at least zero, rounded half up to a whole number, as cents."""
+    return F.floor(value + 0.5) / 100
 
 
 def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

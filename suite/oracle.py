@@ -175,14 +175,14 @@ SELECT
   CAST(l_partkey % 268 AS BIGINT) AS "PULocationID",
   CAST(l_suppkey * 37 % 266 + 1 AS BIGINT) AS "DOLocationID",
   CASE WHEN l_orderkey % 20 <> 0 THEN CAST(l_orderkey % 6 + 1 AS BIGINT) END AS payment_type,
-  (round(l_extendedprice) / 100 + 0.0::DOUBLE) * sign AS fare_amount,
+  (floor(l_extendedprice + 0.5) / 100) * sign AS fare_amount,
   CAST(l_linenumber % 3 AS DOUBLE) / 2 AS extra,
   0.5::DOUBLE AS mta_tax,
-  CASE WHEN l_orderkey % 6 = 0 THEN round(l_extendedprice * l_discount) / 100 + 0.0::DOUBLE
+  CASE WHEN l_orderkey % 6 = 0 THEN floor(l_extendedprice * l_discount + 0.5) / 100
        ELSE 0.0::DOUBLE END AS tip_amount,
   CASE WHEN l_linenumber = 7 THEN 6.55::DOUBLE ELSE 0.0::DOUBLE END AS tolls_amount,
   1.0::DOUBLE AS improvement_surcharge,
-  (round(l_extendedprice * (1 + l_tax)) / 100 + 0.0::DOUBLE) * sign + batch AS total_amount,
+  (floor(l_extendedprice * (1 + l_tax) + 0.5) / 100) * sign + batch AS total_amount,
   CASE WHEN l_orderkey % 2 = 0 THEN 2.5::DOUBLE END AS congestion_surcharge,
   CASE WHEN l_partkey % 268 IN (1, 132, 138) THEN 1.25::DOUBLE ELSE 0.0::DOUBLE END
     AS airport_fee,
@@ -535,12 +535,12 @@ SELECT CAST(user_id % 2 + 1 AS BIGINT) AS "VendorID", ts AS tpep_pickup_datetime
   CAST(event_id * 13 % 265 + 1 AS BIGINT) AS "DOLocationID",
   CAST(list_position(['click', 'view', 'purchase', 'signup', 'error'], event_type) AS BIGINT)
     AS payment_type,
-  round(value * 80) / 100 + 0.0::DOUBLE AS fare_amount, 0.5::DOUBLE AS extra,
+  floor(value * 80 + 0.5) / 100 AS fare_amount, 0.5::DOUBLE AS extra,
   0.5::DOUBLE AS mta_tax,
-  CASE WHEN event_type = 'click' THEN round(value * 12) / 100 + 0.0::DOUBLE ELSE 0.0::DOUBLE END
+  CASE WHEN event_type = 'click' THEN floor(value * 12 + 0.5) / 100 ELSE 0.0::DOUBLE END
     AS tip_amount,
   0.0::DOUBLE AS tolls_amount, 1.0::DOUBLE AS improvement_surcharge,
-  round(value * 100) / 100 + 0.0::DOUBLE AS total_amount,
+  floor(value * 100 + 0.5) / 100 AS total_amount,
   CASE WHEN event_id % 2 = 0 THEN 2.5::DOUBLE END AS congestion_surcharge,
   0.0::DOUBLE AS airport_fee, {AS_OF} AS _ingested_at, 'events' AS _source_file,
   (SELECT strftime(max(ts), '%Y-%m') FROM events) AS _execution_date
