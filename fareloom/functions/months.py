@@ -68,6 +68,11 @@ def month_span(first: str, last: str) -> list[str]:
     return months
 
 
+def at(when: dt.datetime) -> Column:
+    """A time as recorded; unlike ``lit`` of a datetime it passes through no zone."""
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_text(when: Column) -> Column:
     return F.date_format(when, "yyyy-MM")
 

@@ -14,13 +14,12 @@ from fareloom.functions.measures import (
     safe_divide,
     share,
 )
-from fareloom.functions.months import Months, month_text, within_months
+from fareloom.functions.months import Months, at, month_text, within_months
 
 
 def stamp(as_of: dt.datetime | None) -> Column:
     """A given time, or the time of the query."""
-    when = F.localtimestamp() if as_of is None else F.lit(as_of)
-    return when.cast("timestamp_ntz")
+    return F.localtimestamp() if as_of is None else at(as_of)
 
 
 def _paid_by(name: str) -> Column:

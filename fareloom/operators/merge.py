@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom import schemas
-from fareloom.functions.months import Months, in_months
+from fareloom.functions.months import Months, at, in_months
 from fareloom.operators.trips import latest_per_key
 
 
@@ -24,7 +24,7 @@ def merge_insert_new_trips(
     Both sides are reduced to one row per key within each task before they are
     shuffled, and the join works on the shuffles of those two reductions. Of the
     target only the key columns are read, and only row groups whose pickup times
-    overlap the staged ones.
+    overlap the staged ones; the first and last of those are looked up beforehand.
     """
     key = schemas.TRIP_KEY
     staged = staging.where(in_months(F.col("_execution_date"), months))
@@ -36,7 +36,8 @@ def merge_insert_new_trips(
         return newest.join(known, matched, "left_anti")
 
     pickup = F.col("tpep_pickup_datetime")
-    first = staged.select(F.min(pickup)).scalar()
-    last = staged.select(F.max(pickup)).scalar()
-    known = known.dropna().where(pickup.between(first, last)).distinct()
+    first, last = staged.agg(F.min(pickup), F.max(pickup)).first()
+    if first is None:
+        return newest
+    known = known.dropna().where(pickup.between(at(first), at(last))).distinct()
     return newest.join(known, list(key), "left_anti").select(*newest.columns)

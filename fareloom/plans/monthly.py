@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom import schemas
-from fareloom.functions.months import Months, in_months, month_list, previous_month
+from fareloom.functions.months import Months, at, in_months, month_list, previous_month
 from fareloom.operators import checks, runs
 from fareloom.operators.daily import kpi_daily_revenue
 from fareloom.operators.hourly import kpi_hourly_patterns
@@ -153,7 +153,7 @@ def validate_months(raw: list[DataFrame], groups, progress: Progress) -> None:
 
 def load_bronze(job: Job, raw: list[DataFrame], progress: Progress) -> None:
     """Append the valid months' files, optionally only those not loaded before."""
-    when = F.lit(job.now()).cast("timestamp_ntz")
+    when = at(job.now())
     month, source = F.col("_execution_date"), F.col("_source_file")
     rows = reduce(
         DataFrame.unionByName,

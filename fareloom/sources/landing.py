@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom import schemas
-from fareloom.functions.months import Months, month_list
+from fareloom.functions.months import Months, at, month_list
 
 # Fixed value: where a month's file lands under the landing root.
 FILE_PATTERN = "yellow/{month}/yellow_tripdata_{month}.parquet"
@@ -87,7 +87,9 @@ def add_audit_columns(
     def column(value):
         return value if isinstance(value, Column) else F.lit(value)
 
-    when = F.localtimestamp() if ingested_at is None else column(ingested_at)
+    when = ingested_at
+    if not isinstance(when, Column):
+        when = F.localtimestamp() if when is None else at(when)
     return frame.withColumns(
         {
             "_ingested_at": when.cast("timestamp_ntz"),

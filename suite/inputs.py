@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom import schemas
+from fareloom.functions.months import at
 from fareloom.operators.zones import dim_zones
 
 AS_OF = dt.datetime(2026, 1, 1)
@@ -91,7 +92,7 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "congestion_surcharge": F.when(order % 2 == 0, 2.5),
         "airport_fee": F.when(zone.isin(132, 138, 1), 1.25).otherwise(0.0),
         "_ingested_at": F.timestamp_add(
-            "DAY", F.col("batch"), F.lit(dt.datetime(2002, 1, 1)).cast("timestamp_ntz")
+            "DAY", F.col("batch"), at(dt.datetime(2002, 1, 1))
         ),
         "_source_file": F.concat(F.lit("trips/"), month, F.lit(".parquet")),
         "_execution_date": month,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom import schemas
-from fareloom.functions.months import day_name, day_type, time_of_day_segment
+from fareloom.functions.months import at, day_name, day_type, time_of_day_segment
 from fareloom.operators import checks, lite, merge, runs, trips, validation, zones
 from fareloom.operators.daily import gold_month_stats, kpi_daily_revenue
 from fareloom.operators.hourly import demand_index, hourly_metrics, kpi_hourly_patterns
@@ -78,7 +78,7 @@ def normalize_column_names(spark, sf_dir):
 def append_bronze(spark, sf_dir):
     warehouse = tables.Warehouse(spark, scratch(spark, "bronze"))
     rows = bronze(spark, sf_dir)
-    first = F.col("_ingested_at") == F.lit(AS_OF.replace(year=2002)).cast("timestamp_ntz")
+    first = F.col("_ingested_at") == at(AS_OF.replace(year=2002))
     tables.append_bronze(warehouse, rows.where(first))
     tables.append_bronze(warehouse, rows.where(~first))
     return warehouse.bronze_trips()
