@@ -13,7 +13,7 @@ from fareloom.functions.months import Months, month_date, month_text, within_mon
 from fareloom.operators.daily import stamp
 
 # Largest dimension sent whole to every task; a zone row takes about 100 bytes.
-MOST_BROADCAST_ROWS = 100_000
+MOST_BROADCAST_ROWS = 10_000
 
 ZONE_COLUMNS = ("zone", "borough", "borough_group", "is_airport")
 

@@ -22,6 +22,7 @@ from fareloom.functions.months import Months, at, in_months, month_list, previou
 from fareloom.operators import checks, runs
 from fareloom.operators.daily import kpi_daily_revenue
 from fareloom.operators.hourly import kpi_hourly_patterns
+from fareloom.operators.merge import merge_insert_new_trips
 from fareloom.operators.trips import clean_trips
 from fareloom.operators.validation import validation_report
 from fareloom.operators.zones import dim_zones, kpi_zone_performance
@@ -136,19 +137,27 @@ def scan_delivered(job: Job, groups: list[tuple[T.StructType, list[str]]]) -> li
     ]
 
 
-def validate_months(raw: list[DataFrame], groups, progress: Progress) -> None:
-    """Count every month's rows and fail the months that may not be loaded."""
+def validate_months(raw: list[DataFrame], groups, progress: Progress) -> list[DataFrame]:
+    """Count every month's rows and fail the months that may not be loaded.
+
+    Returns the frames in which a month is still under way.
+    """
     reports = [
         validation_report(frame, months)
         for frame, (_, months) in zip(raw, groups, strict=True)
     ]
     if not reports:
-        return
+        return []
     for row in reduce(DataFrame.unionByName, reports).collect():
         progress.note(row["_execution_date"], rows_ingested=row["row_count"])
         if not row["valid"]:
             issues = "; ".join(row["issues"])
             progress.fail(row["_execution_date"], f"raw data validation failed: {issues}")
+    return [
+        frame
+        for frame, (_, months) in zip(raw, groups, strict=True)
+        if set(months) & set(progress.open)
+    ]
 
 
 def load_bronze(job: Job, raw: list[DataFrame], progress: Progress) -> None:
@@ -170,6 +179,21 @@ def load_bronze(job: Job, raw: list[DataFrame], progress: Progress) -> None:
         progress.note(month, rows_ingested=loaded.get(month, 0))
 
 
+def merge_into_bronze(
+    warehouse: Warehouse, staging: DataFrame, months: Months = None, null_safe: bool = False
+) -> int:
+    """Append the staged trips bronze lacks; returns how many.
+
+    Safe for one writer at a time: Parquet tables have no transactions. The rows
+    are counted by the footers before and after, not by joining a second time.
+    """
+    before = warehouse.bronze_trips(months).count()
+    new = merge_insert_new_trips(staging, warehouse.bronze_trips(), months, null_safe)
+    path = warehouse.path("bronze", "trips")
+    new.write.mode("append").partitionBy("_execution_date").parquet(path)
+    return warehouse.bronze_trips(months).count() - before
+
+
 def build_dim_zones(
     warehouse: Warehouse, lookup: DataFrame, as_of: dt.datetime | None = None
 ) -> None:
@@ -293,7 +317,7 @@ def run_months(
     try:
         groups = delivered_schemas(job, progress)
         raw = scan_delivered(job, groups)
-        validate_months(raw, groups, progress)
+        raw = validate_months(raw, groups, progress)
         if not dry_run and progress.open:
             _build_layers(job, raw, progress, run_id)
     except Exception as error:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fareloom import schemas
 from fareloom.operators.trips import clean_trips
+from fareloom.plans import monthly
 from fareloom.session import size_shuffle, stored_bytes
 from fareloom.sources import landing, tables
 from fareloom.sources.zones import scan_zone_lookup
@@ -82,6 +83,17 @@ def test_append_counts_and_prunes(warehouse, frame):
     assert "PartitionFilters: [isnotnull(_execution_date" in pruned
 
 
+def test_merge_into_bronze(warehouse, frame):
+    assert monthly.merge_into_bronze(warehouse, frame(SAMPLE)) == 5
+    staging = frame([trip(total_amount=1.0), trip(VendorID=9)])
+    assert monthly.merge_into_bronze(warehouse, staging, "2024-01") == 1
+    assert warehouse.bronze_trips().where("total_amount = 1").count() == 0
+    # A key with a missing part is inserted by every run, unless it may match.
+    unknown = frame([trip(VendorID=None)])
+    assert [monthly.merge_into_bronze(warehouse, unknown) for _ in range(2)] == [1, 1]
+    assert monthly.merge_into_bronze(warehouse, unknown, null_safe=True) == 0
+
+
 def test_skip_loaded_files(frame):
     files = frame([trip(_source_file="a"), trip(_source_file="b")]).select(
         "_source_file", "_execution_date"
