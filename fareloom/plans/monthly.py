@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -111,13 +112,20 @@ def delivered_schemas(job: Job, progress: Progress) -> list[tuple[T.StructType,
     Deliveries of different years differ in types and columns and cannot be read
     by one scan. A month without a file fails.
     """
-    groups: list[tuple[T.StructType, list[str]]] = []
-    reader = job.warehouse.spark.read
-    for month in progress.months:
+
+    def schema_of(month: str) -> T.StructType | None:
+        path = files.landing_glob(job.landing, month, job.pattern)
         try:
-            schema = reader.parquet(files.landing_glob(job.landing, month, job.pattern)).schema
+            return job.warehouse.spark.read.parquet(path).schema
         except AnalysisException as error:
             progress.fail(month, f"no raw file: {error.getCondition()}")
+            return None
+
+    groups: list[tuple[T.StructType, list[str]]] = []
+    with ThreadPoolExecutor(8) as pool:
+        delivered = list(pool.map(schema_of, progress.months))
+    for month, schema in zip(progress.months, delivered, strict=True):
+        if schema is None:
             continue
         same = [months for known, months in groups if known == schema]
         if same:
@@ -231,11 +239,21 @@ def build_gold(
     as_of: dt.datetime | None = None,
     full_replace: bool = False,
 ) -> None:
-    """Rewrite the months of the three KPI tables from silver."""
+    """Rewrite the months of the three KPI tables from silver.
+
+    The tables do not depend on each other; their jobs are submitted together, so
+    that one fills the cores another leaves idle at the end of its stages.
+    """
     trips = warehouse.silver_trips(months)
     zones = warehouse.read("silver", "dim_zones")
-    for table, rows in kpi_tables(trips, zones, months, as_of).items():
-        write_gold(warehouse, table, rows, full_replace)
+    tables = kpi_tables(trips, zones, months, as_of)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        done = [
+            pool.submit(write_gold, warehouse, table, rows, full_replace)
+            for table, rows in tables.items()
+        ]
+    for write in done:
+        write.result()
 
 
 def gold_rows(warehouse: Warehouse, months: list[str]) -> dict[str, int]:
