@@ -9,7 +9,6 @@ in ``suite.oracle``.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import tempfile
 import uuid
 

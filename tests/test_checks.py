@@ -151,7 +151,8 @@ def test_months_without_rows_are_tested(sample):
 
 def test_inline_check(frame):
     rows = frame([trip(), trip(pickup=None)])
-    found = {r["execution_date"]: r for r in checks.check_bronze_inline(rows, ["2024-01", "2024-02"]).collect()}
+    results = checks.check_bronze_inline(rows, ["2024-01", "2024-02"]).collect()
+    found = {row["execution_date"]: row for row in results}
     assert found["2024-01"]["status"] == "FAILED"
     assert found["2024-01"]["failure_rate"] == 0.5
     assert found["2024-02"]["status"] == "PASSED"
@@ -171,7 +172,8 @@ def test_one_broken_check_does_not_stop_the_others(spark):
 def test_min_trips_gate(spark):
     rows = [(dt.date(2024, m, 1), n, 1.0) for m, n in ((1, 999), (2, 1000))]
     daily = spark.createDataFrame(rows, "pickup_date date, total_trips long, total_revenue double")
-    found = {r["_execution_date"]: r["enough_trips"] for r in checks.min_trips_gate(daily).collect()}
+    results = checks.min_trips_gate(daily).collect()
+    found = {row["_execution_date"]: row["enough_trips"] for row in results}
     assert found == {"2024-01": False, "2024-02": True}
 
 
@@ -180,7 +182,8 @@ def test_min_trips_gate(spark):
 
 def report(frame, rows, months=None, drop=()):
     raw = frame(rows).drop("_ingested_at", *drop)
-    return {row["_execution_date"]: row for row in validation.validation_report(raw, months).collect()}
+    rows = validation.validation_report(raw, months).collect()
+    return {row["_execution_date"]: row for row in rows}
 
 
 def test_valid_sample(frame, sample):
@@ -191,7 +194,8 @@ def test_valid_sample(frame, sample):
 
 @pytest.mark.parametrize(("inside", "valid"), [(8, True), (7, False), (1, False)])
 def test_share_of_the_month(frame, inside, valid):
-    rows = [trip()] * inside + [trip(pickup="2023-06-01 08:00:00")] * (9 - inside) + [trip(pickup=None)]
+    outside = [trip(pickup="2023-06-01 08:00:00")] * (9 - inside)
+    rows = [trip()] * inside + outside + [trip(pickup=None)]
     row = report(frame, rows)["2024-01"]
     assert row["valid"] == valid
     if not valid:

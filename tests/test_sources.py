@@ -23,7 +23,8 @@ def test_scan_takes_month_and_file_from_the_path(spark, frame, tmp_path):
     deliver(frame, root, "2024-01", SAMPLE)
     deliver(frame, root, "2024-02", SAMPLE[:2])
     rows = landing.scan_raw_trips(spark, root)
-    counts = {r["_execution_date"]: r["count"] for r in rows.groupBy("_execution_date").count().collect()}
+    by_month = rows.groupBy("_execution_date").count().collect()
+    counts = {row["_execution_date"]: row["count"] for row in by_month}
     assert counts == {"2024-01": 5, "2024-02": 2}
     source = landing.scan_raw_trips(spark, root, "2024-02").first()["_source_file"]
     assert source.startswith("yellow/2024-02/yellow_tripdata_2024-02.parquet")
@@ -51,7 +52,8 @@ def test_names_are_trimmed_but_keep_their_case(spark):
 
 def test_conform(spark):
     delivered = spark.createDataFrame(
-        [("2024-01-15 08:00:00", 5, "x")], "TPEP_pickup_datetime string, total_amount int, more string"
+        [("2024-01-15 08:00:00", 5, "x")],
+        "TPEP_pickup_datetime string, total_amount int, more string",
     )
     rows = landing.conform_bronze_schema(delivered)
     assert rows.schema.names == schemas.BRONZE_TRIPS.names
