@@ -131,7 +131,7 @@ def remove_repeats(
         unique = Chunk(ids, texts, window).unique
         bucket = ((unique >> np.uint64(32)) * n_buckets) >> np.uint64(32)
         buckets, starts = np.unique(bucket, return_index=True)
-        ends = np.append(starts[1:], len(unique))
+        ends = np.append(starts, len(unique))[1:]
         packed = [unique[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
         return pa.table(
             {
