@@ -27,6 +27,7 @@ OUT = float("inf")
 #: Segmentations a worker remembers.
 REMEMBERED = 1_000_000
 MASK = (1 << 64) - 1
+MIX = 0x9E3779B97F4A7C15
 
 
 class PieceModel:
@@ -54,7 +55,7 @@ class PieceModel:
                 self.bytes_of.append(piece.replace(BLANK, " ").encode())
         if any(BLANK in piece.lstrip(BLANK) for piece in self.ids):
             raise ValueError("a piece holds a blank after other characters")
-        self.memory: dict[tuple, list[dict[str, tuple[int, ...]]]] = {}
+        self.memory: dict[tuple, tuple[list[dict], list[dict]]] = {}
 
     def segment(self, run: str, key: int, dropout: float) -> tuple[int, ...]:
         """Ids of a run: merges are taken from an agenda, best rank first.
@@ -72,7 +73,8 @@ class PieceModel:
         key ^= xxhash.xxh64_intdigest(run.encode()) if limit else 0
         while agenda and (best := min(agenda)) != OUT:
             i = agenda.index(best)
-            if limit and _keyed(key, ends[i], ends[i + 1]) < limit:
+            # The hash of _keyed, written out: this line runs most.
+            if limit and ((key ^ (ends[i] << 32 | ends[i + 1])) * MIX & MASK) < limit:
                 agenda[i] = OUT
                 continue
             parts[i] += parts.pop(i + 1)
@@ -118,26 +120,28 @@ class PieceModel:
         return self._ids([part for part in parts if part])
 
     def _ids(self, parts: list[str]) -> tuple[int, ...]:
-        ids: list[int] = []
-        for part in parts:
-            known = self.ids.get(part)
-            if known is not None:
-                ids.append(known)
-            else:
-                ids.extend(self.byte_ids[b] for b in part.encode())
-        return tuple(ids)
+        ids = tuple(map(self.ids.get, parts))
+        if None not in ids:
+            return ids
+        spelled: list[int] = []
+        for part, known in zip(parts, ids, strict=True):
+            spelled.extend([known] if known is not None else [self.byte_ids[b] for b in part.encode()])
+        return tuple(spelled)
 
     def encode(self, text: str, row_key: int, seed: int, dropout: float, variants: int) -> list[int]:
         """Ids of a text; a blank sign (U+2581) in the text itself is spelled in bytes."""
         if not text:
             return []
-        memory = self.memory.setdefault((seed, dropout, variants), [{} for _ in range(variants)])
-        if sum(map(len, memory)) >= REMEMBERED:
-            for table in memory:
-                table.clear()
+        memory, older = self.memory.setdefault(
+            (seed, dropout, variants), ([{} for _ in range(variants)], [{} for _ in range(variants)])
+        )
+        if sum(map(len, memory)) >= REMEMBERED // 2:
+            # What was used since the last time stays; the rest is forgotten.
+            older[:] = memory
+            memory[:] = [{} for _ in range(variants)]
         if BLANK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
             # One blank before every run: runs are kept without it.
-            return self._encode_runs(text.split(" "), BLANK, 0, memory, row_key, seed, dropout)
+            return self._encode_runs(text.split(" "), BLANK, 0, memory, older, row_key, seed, dropout)
         ids: list[int] = []
         spelled = [self.byte_ids[b] for b in BLANK.encode()]
         at = 0
@@ -146,12 +150,20 @@ class PieceModel:
                 ids.extend(spelled)
             runs = _RUN.findall((BLANK if k == 0 else "") + part.replace(" ", BLANK))
             whole = [{} for _ in memory]
-            ids.extend(self._encode_runs(runs, "", at, whole, row_key, seed, dropout))
+            ids.extend(self._encode_runs(runs, "", at, whole, whole, row_key, seed, dropout))
             at += len(runs)
         return ids
 
     def _encode_runs(
-        self, runs: list[str], lead: str, at: int, memory: list[dict], row_key: int, seed: int, dropout: float
+        self,
+        runs: list[str],
+        lead: str,
+        at: int,
+        memory: list[dict],
+        older: list[dict],
+        row_key: int,
+        seed: int,
+        dropout: float,
     ) -> list[int]:
         ids: list[int] = []
         if dropout and len(memory) > 1:
@@ -159,11 +171,14 @@ class PieceModel:
             chosen = (_mixed(places) % np.uint64(len(memory))).tolist()
         else:
             chosen = [0] * len(runs)
+        keys = [xxhash.xxh64_intdigest(b"%d/%d" % (seed, v)) for v in range(len(memory))]
         for run, variant in zip(runs, chosen, strict=True):
             known = memory[variant].get(run)
             if known is None:
-                key = xxhash.xxh64_intdigest(b"%d/%d" % (seed, variant))
-                known = memory[variant][run] = self.segment(lead + run, key, dropout)
+                known = older[variant].get(run)
+                if known is None:
+                    known = self.segment(lead + run, keys[variant], dropout)
+                memory[variant][run] = known
             ids += known
         return ids
 
@@ -174,9 +189,7 @@ class PieceModel:
 
 def _keyed(key: int, middle: int, end: int) -> int:
     """Keyed 64-bit hash of the place of a candidate merge."""
-    x = ((key ^ (middle << 32 | end)) * 0x9E3779B97F4A7C15) & MASK
-    x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & MASK
-    return x ^ (x >> 32)
+    return (key ^ (middle << 32 | end)) * MIX & MASK
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
