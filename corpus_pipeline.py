@@ -20,7 +20,7 @@ LEAST_SCORE = 0.5
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     ship(spark)
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.passing(docs).select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -216,3 +216,14 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
         "kept", ~F.col("base_failed") & ~diverges
     )
     return judged.select("_row.*", *NEW)
+
+
+def passing(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows that the rules keep, with their own columns (but for those named as new).
+
+    The verdict is computed below a row number, through which Spark pushes no
+    filter: pushed down, the filter would repeat every expression it rests on.
+    """
+    judged = judge(docs, text, lang).withColumn("_row", F.monotonically_increasing_id())
+    own = [c for c in docs.columns if c not in NEW]
+    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select(*own)
