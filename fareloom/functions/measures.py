@@ -5,15 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts and distances are recorded in hundredths; ten-thousandths leave room
-# for finer data and still let a long hold 9e14 units of money.
-AMOUNT_UNITS = 10_000
-
-# Ratios have no such unit; they are added in steps far below any rounding used.
-RATE_UNITS = 10**12
-
-# Relative and absolute difference taken as noise of earlier arithmetic.
-NOISE = 1e-12
+# Values are added with this many decimals, far below any rounding used; a sum may
+# reach 1e26 and a single value 1e16.
+ADDED_AS = "decimal(28,12)"
 
 # Rank error of the percentile sketch is 1 / PERCENTILE_ACCURACY of the rows.
 PERCENTILE_ACCURACY = 10_000
@@ -34,28 +28,27 @@ def safe_divide(dividend: Column, divisor: Column) -> Column:
     return F.try_divide(dividend, divisor)
 
 
-def exact_sum(value: Column, units_per_one: int = AMOUNT_UNITS) -> Column:
+def exact_sum(value: Column) -> Column:
     """Sum of a double column that does not depend on the order of the rows.
 
     A sum of doubles changes with the order in which shuffled parts arrive, so
-    a retried or repeated job could round to another cent. Values that are whole
-    units, as recorded amounts are, are added as longs instead. If any value is
-    not (or the long overflows), the sum of the doubles is taken.
+    a retried or repeated job could round to another cent. Values are added as
+    decimals instead, whatever their number and size. Infinities and NaN have no
+    decimal: a group that holds any has their sum.
     """
-    units = F.rint(value * units_per_one).try_cast("bigint")
-    gap = F.abs(units / units_per_one - value)
-    whole = F.when(gap <= NOISE + NOISE * F.abs(value), units)
-    total = F.when(F.count(whole) == F.count(value), F.try_sum(whole))
-    return F.coalesce(total / units_per_one, F.sum(value))
+    double = value.cast("double")
+    unusual = F.isnan(double) | (F.abs(double) == float("inf"))
+    total = F.sum(F.when(~unusual, double).cast(ADDED_AS)).cast("double")
+    return F.coalesce(F.sum(F.when(unusual, double)), total)
 
 
-def exact_avg(value: Column, units_per_one: int = AMOUNT_UNITS) -> Column:
-    return safe_divide(exact_sum(value, units_per_one), F.count(value))
+def exact_avg(value: Column) -> Column:
+    return safe_divide(exact_sum(value), F.count(value))
 
 
 def avg_rate(rate: Column) -> Column:
     """Mean of a ratio column, likewise independent of the order of the rows."""
-    return exact_avg(rate, RATE_UNITS)
+    return exact_avg(rate)
 
 
 def share(condition: Column, digits: int = 4) -> Column:

@@ -12,9 +12,6 @@ from fareloom.functions.measures import avg_rate, exact_avg, exact_sum, safe_div
 from fareloom.functions.months import Months, month_date, month_text, within_months
 from fareloom.operators.daily import stamp
 
-# Largest dimension sent whole to every task; a zone row takes about 100 bytes.
-MOST_BROADCAST_ROWS = 10_000
-
 ZONE_COLUMNS = ("zone", "borough", "borough_group", "is_airport")
 
 
@@ -30,19 +27,13 @@ def dim_zones(lookup: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     )
 
 
-def broadcast_if_small(frame: DataFrame, most_rows: int = MOST_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting that the frame is small enough.
+def join_trips_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Every trip with its pickup zone; trips of unknown zones keep NULLs.
 
-    The count stops at the limit. A larger frame is left to a shuffled join,
-    whose skewed partitions AQE splits.
+    AQE broadcasts the zones if their measured bytes allow it, else it splits the
+    partitions of busy zones.
     """
-    small = frame.limit(most_rows + 1).count() <= most_rows
-    return F.broadcast(frame) if small else frame
-
-
-def join_trips_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """Every trip with its pickup zone; trips of unknown zones keep NULLs."""
-    names = broadcast_if_small(zones.select("location_id", *ZONE_COLUMNS, "service_zone"))
+    names = zones.select("location_id", *ZONE_COLUMNS, "service_zone")
     matched = trips["pickup_location_id"] == names["location_id"]
     return trips.join(names, matched, "left").drop("location_id")
 

@@ -206,7 +206,7 @@ def build_dim_zones(
     warehouse: Warehouse, lookup: DataFrame, as_of: dt.datetime | None = None
 ) -> None:
     """Write the zone dimension; done once, not every month."""
-    zones = dim_zones(lookup, as_of).coalesce(1)
+    zones = dim_zones(lookup, as_of).hint("rebalance")
     zones.write.mode("overwrite").parquet(warehouse.path("silver", "dim_zones"))
 
 
@@ -249,7 +249,7 @@ def build_gold(
     tables = kpi_tables(trips, zones, months, as_of)
     with ThreadPoolExecutor(len(tables)) as pool:
         done = [
-            pool.submit(write_gold, warehouse, table, rows, full_replace)
+            pool.submit(write_gold, warehouse, table, rows, full_replace, months)
             for table, rows in tables.items()
         ]
     for write in done:

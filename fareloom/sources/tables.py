@@ -159,11 +159,38 @@ def write_silver_trips(
 
 
 def write_gold(
-    warehouse: Warehouse, table: str, rows: DataFrame, full_replace: bool = False
+    warehouse: Warehouse,
+    table: str,
+    rows: DataFrame,
+    full_replace: bool = False,
+    months: Months = None,
 ) -> None:
-    """Write a KPI table by month, so that a rewritten month is replaced whole."""
+    """Write a KPI table by month, so that a rewritten month is replaced whole.
+
+    Of the ``months`` asked for, those the table held before and that have no rows
+    now are emptied: no old KPIs stay behind a month that lost its trips.
+    """
     partition, order = GOLD_TABLES[table]
-    overwrite_partitions(warehouse, "gold", table, rows, partition, order, full_replace)
+    asked = month_list(months)
+    before: set[str] = set()
+    path = warehouse.path("gold", table)
+    if asked and not full_replace:
+        try:
+            stored = warehouse.spark.read.parquet(path).select(F.col(partition).cast("string"))
+            before = {value for (value,) in stored.distinct().collect() if value and value[:7] in asked}
+        except AnalysisException:  # the first write
+            pass
+    written = Observation()
+    observed = rows.observe(written, F.collect_set(F.col(partition).cast("string")).alias("values"))
+    overwrite_partitions(warehouse, "gold", table, observed, partition, order, full_replace)
+    for value in sorted(before - set(written.get["values"])):
+        columns = [field for field in rows.schema.fields if field.name != partition]
+        (
+            warehouse.spark.createDataFrame([], T.StructType(columns))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .parquet(f"{path}/{partition}={value}")
+        )
 
 
 def append_metadata(warehouse: Warehouse, table: str, rows: list[dict]) -> None:

@@ -209,7 +209,7 @@ SELECT p_partkey AS "LocationID",
   CASE p_partkey % 8 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in BOROUGHS.items())}
     WHEN 6 THEN 'Unknown' END AS "Borough",
   p_name AS "Zone", p_brand AS service_zone
-FROM part WHERE p_partkey BETWEEN 1 AND 265
+FROM part
 """
 STEPS["zones"] = f"""
 SELECT "LocationID" AS location_id, "Borough" AS borough, "Zone" AS zone, service_zone,

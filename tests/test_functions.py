@@ -13,9 +13,9 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()["x"]
 
 
-def total(spark, values, units=measures.AMOUNT_UNITS):
-    rows = spark.createDataFrame([(v,) for v in values], "x double")
-    return rows.agg(measures.exact_sum(F.col("x"), units).alias("t")).first()["t"]
+def total(spark, values, partitions=1):
+    rows = spark.createDataFrame([(v,) for v in values], "x double").repartition(partitions)
+    return rows.agg(measures.exact_sum(F.col("x")).alias("t")).first()["t"]
 
 
 def test_exact_sum_has_no_noise(spark):
@@ -39,10 +39,17 @@ def test_exact_sum_of_unusual_values(spark):
     assert total(spark, [None, 2.5]) == 2.5
     assert math.isnan(total(spark, [float("nan"), 1.0]))
     assert total(spark, [float("inf"), 1.0]) == math.inf
-    # The sum of the units leaves the range of a long.
     assert total(spark, [9e14, 9e14]) == 1.8e15
 
 
+@pytest.mark.parametrize("one_odd", [0.25, 0.12345])
+def test_exact_sum_is_one_arithmetic_at_any_size(spark, one_odd):
+    # Far beyond what longs in steps of 1e-12 hold, with and without a fifth decimal.
+    values = [30_000.1 + i / 7 for i in range(400)] + [one_odd]
+    assert len({total(spark, values, n) for n in (1, 3, 7)}) == 1
+    assert total(spark, values) == pytest.approx(math.fsum(values), rel=1e-12)
+
+
 def test_average_rate_is_independent_of_order(spark):
     rates = [(i * 37 % 101) / 700 for i in range(500)]
     averages = set()

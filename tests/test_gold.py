@@ -115,13 +115,6 @@ def test_join_keeps_trips_of_unknown_zones(silver, lookup):
     assert joined.where("zone IS NULL").count() == 1
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small = zones.broadcast_if_small(spark.range(5), 5)
-    large = zones.broadcast_if_small(spark.range(6), 5)
-    assert "broadcast" in small._jdf.queryExecution().toString().lower()
-    assert "broadcast" not in large._jdf.queryExecution().toString().lower()
-
-
 def test_hourly_values(frame):
     def at(day, hour, number, amount=10.0):
         return [

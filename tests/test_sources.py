@@ -187,3 +187,13 @@ def test_shuffle_size_follows_the_input(spark, tmp_path):
         assert size_shuffle(spark, 10**16) == 50_000
     finally:
         spark.conf.unset(key)
+
+
+def test_a_rewritten_month_leaves_no_old_gold(warehouse, spark):
+    kind = "pickup_date date, total_trips long, _execution_date string"
+    rows = [(dt.date(2024, m, 1), 5, f"2024-0{m}") for m in (1, 2)]
+    table = "kpi_daily_revenue"
+    tables.write_gold(warehouse, table, spark.createDataFrame(rows, kind), months=["2024-01", "2024-02"])
+    tables.write_gold(warehouse, table, spark.createDataFrame([], kind), months="2024-01")
+    left = spark.read.parquet(warehouse.path("gold", table)).collect()
+    assert [row["_execution_date"] for row in left] == ["2024-02"]
