@@ -41,7 +41,7 @@ WITH RECURSIVE remainders AS (
                lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS INTEGER) + 1]))) AS text_crc32
     FROM rows, remainders
 ), costs AS (
-    SELECT *, list_transform(range(41), i ->
+    SELECT *, list_transform(range(41), lambda i:
         -ln((CAST('0x' || substr(md5(doc_id || '/' || i), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS c
     FROM sized
 ), placed AS (
