@@ -171,19 +171,23 @@ def write_gold(
     now are emptied: no old KPIs stay behind a month that lost its trips.
     """
     partition, order = GOLD_TABLES[table]
-    asked = month_list(months)
-    before: set[str] = set()
+    asked = set(month_list(months) or []) if not full_replace else set()
     path = warehouse.path("gold", table)
-    if asked and not full_replace:
+
+    def files() -> set[tuple[str, str]]:
+        """Partition values of the months asked for, with their files."""
         try:
-            stored = warehouse.spark.read.parquet(path).select(F.col(partition).cast("string"))
-            before = {value for (value,) in stored.distinct().collect() if value and value[:7] in asked}
+            stored = warehouse.spark.read.parquet(path)
         except AnalysisException:  # the first write
-            pass
-    written = Observation()
-    observed = rows.observe(written, F.collect_set(F.col(partition).cast("string")).alias("values"))
-    overwrite_partitions(warehouse, "gold", table, observed, partition, order, full_replace)
-    for value in sorted(before - set(written.get["values"])):
+            return set()
+        value = F.col(partition).cast("string")
+        found = stored.where(F.substring(value, 1, 7).isin(*asked)).select(value, "_metadata.file_path")
+        return {tuple(row) for row in found.distinct().collect()}
+
+    before = files() if asked else set()
+    overwrite_partitions(warehouse, "gold", table, rows, partition, order, full_replace)
+    # Partitions that were written again have new files.
+    for value in sorted({value for value, _ in before & files()} if before else ()):
         columns = [field for field in rows.schema.fields if field.name != partition]
         (
             warehouse.spark.createDataFrame([], T.StructType(columns))
