@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,8 +18,12 @@ from fareloom.llm.common import numbered, shuffle_partitions, written
 #: Tokens of a sequence, and the id that ends every document.
 CAPACITY = 4096
 END_ID = 1
-#: Chunks between blanks whose ids a worker remembers.
-REMEMBERED = 500_000
+#: Chunks whose ids a worker remembers, and characters it encodes at once.
+REMEMBERED = 1_000_000
+GROUP_CHARS = 2_000_000
+#: Points after a plain letter. A token ends before them in any case, so a blank
+#: put there changes no id, and words with and without points share a chunk.
+_POINTS = re.compile(r"[.,;:!?%&](?<=[A-Za-z][.,;:!?%&])")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -33,18 +38,28 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.memory: dict[str, bytes] = {"": b""}
 
-    def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [_POINTS.sub(r" \g<0>", t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         memory = self.memory
-        new = list({chunk for chunk in chunks if chunk not in memory})
-        if new:
-            if len(memory) > REMEMBERED:
-                memory.clear()
-                memory[""] = b""
-                new = list(set(chunks))
-            for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memory[chunk] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(memory.__getitem__, chunks))
+        if len(memory) > REMEMBERED:
+            memory.clear()
+            memory[""] = b""
+        new = list({chunk for chunks in split for chunk in chunks if chunk not in memory})
+        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            memory[chunk] = np.array(found.ids, "<u4").tobytes()
+        return [b"".join(map(memory.__getitem__, chunks)) for chunks in split]
+
+
+def groups(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in groups of some ``GROUP_CHARS`` characters."""
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if held > GROUP_CHARS:
+            yield group
+            group, held = [], 0
+    yield group
 
 
 @lru_cache(maxsize=2)
@@ -60,8 +75,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder.encode(text or "") + end
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            encoded = (ids for group in groups(texts) for ids in encoder.encode(group))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
