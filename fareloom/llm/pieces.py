@@ -6,6 +6,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,19 +72,20 @@ class PieceModel:
         rank_of, limit = self.ranks.get, int(dropout * (MASK + 1))
         agenda = [rank_of(a + b, OUT) for a, b in zip(parts, parts[1:], strict=False)]
         key ^= xxhash.xxh64_intdigest(run.encode()) if limit else 0
-        while agenda and (best := min(agenda)) != OUT:
+        last = len(agenda) - 1
+        while last >= 0 and (best := min(agenda)) != OUT:
             i = agenda.index(best)
             # The hash of _keyed, written out: this line runs most.
             if limit and ((key ^ (ends[i] << 32 | ends[i + 1])) * MIX & MASK) < limit:
                 agenda[i] = OUT
                 continue
-            parts[i] += parts.pop(i + 1)
-            ends.pop(i)
-            agenda.pop(i)
-            if i < len(agenda):
-                agenda[i] = rank_of(parts[i] + parts[i + 1], OUT)
+            parts[i] = whole = parts[i] + parts[i + 1]
+            del parts[i + 1], ends[i], agenda[i]
+            if i < last:
+                agenda[i] = rank_of(whole + parts[i + 1], OUT)
             if i:
-                agenda[i - 1] = rank_of(parts[i - 1] + parts[i], OUT)
+                agenda[i - 1] = rank_of(parts[i - 1] + whole, OUT)
+            last -= 1
         return self._ids(parts)
 
     def _segment_long(self, run: str, key: int, dropout: float) -> tuple[int, ...]:
@@ -165,22 +167,25 @@ class PieceModel:
         seed: int,
         dropout: float,
     ) -> list[int]:
-        ids: list[int] = []
         if dropout and len(memory) > 1:
             places = np.arange(at, at + len(runs), dtype=np.uint64) + np.uint64(row_key)
             chosen = (_mixed(places) % np.uint64(len(memory))).tolist()
         else:
             chosen = [0] * len(runs)
-        keys = [xxhash.xxh64_intdigest(b"%d/%d" % (seed, v)) for v in range(len(memory))]
-        for run, variant in zip(runs, chosen, strict=True):
-            known = memory[variant].get(run)
-            if known is None:
-                known = older[variant].get(run)
+        recall = [part.get for part in memory]
+        found = [recall[variant](run) for run, variant in zip(runs, chosen, strict=True)]
+        if not all(found):
+            keys = [xxhash.xxh64_intdigest(b"%d/%d" % (seed, v)) for v in range(len(memory))]
+            for i, known in enumerate(found):
                 if known is None:
-                    known = self.segment(lead + run, keys[variant], dropout)
-                memory[variant][run] = known
-            ids += known
-        return ids
+                    run, variant = runs[i], chosen[i]
+                    # The same run may have come earlier in this text.
+                    if (known := recall[variant](run)) is None:
+                        if (known := older[variant].get(run)) is None:
+                            known = self.segment(lead + run, keys[variant], dropout)
+                        memory[variant][run] = known
+                    found[i] = known
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> str:
         content = b"".join(map(self.bytes_of.__getitem__, ids))
