@@ -21,28 +21,28 @@ def test_daily_values(silver):
     assert len(days) == 4
     expected = {
         "total_trips": 2,
-        "total_passengers": 3,
-        "total_revenue": 37.0,
-        "avg_revenue_per_trip": 18.5,
-        "total_fare": 30.5,
-        "total_tips": 3.0,
-        "avg_tip_rate": 0.125,
-        "overall_tip_rate": 0.0984,
+        "total_passengers": 6,
+        "total_revenue": 56.0,
+        "avg_revenue_per_trip": 28.0,
+        "total_fare": 44.0,
+        "total_tips": 6.0,
+        "avg_tip_rate": 0.15,
+        "overall_tip_rate": 0.1364,
         "trips_with_tip": 1,
         "tip_incidence_rate": 0.5,
-        "avg_trip_distance_miles": 3.8,
+        "avg_trip_distance_miles": 5.0,
         "avg_trip_duration_min": 25.0,
         "credit_card_trips": 1,
         "cash_trips": 1,
-        "airport_trips": 0,
-        "revenue_per_mile": 4.87,
-        "revenue_per_minute": 0.74,
-        "p50_revenue": 17.0,
-        "p90_revenue": 20.0,
-        "p99_revenue": 20.0,
+        "airport_trips": 1,
+        "revenue_per_mile": 5.6,
+        "revenue_per_minute": 1.12,
+        "p50_revenue": 26.0,
+        "p90_revenue": 30.0,
+        "p99_revenue": 30.0,
         "_execution_date": "2024-01",
     }
-    row = days[dt.date(2024, 1, 15)].asDict()
+    row = days[dt.date(2024, 1, 4)].asDict()
     assert {name: row[name] for name in expected} == expected
     assert len(row) == 31
 
@@ -54,8 +54,8 @@ def test_daily_takes_only_the_months(silver):
 
 def test_month_stats(silver):
     (row,) = gold_month_stats(kpi_daily_revenue(silver)).collect()
-    assert (row["total_days"], row["total_trips"], row["total_revenue"]) == (4, 5, 137.55)
-    assert (row["min_date"], row["max_date"]) == (dt.date(2024, 1, 15), dt.date(2024, 1, 31))
+    assert (row["total_days"], row["total_trips"], row["total_revenue"]) == (4, 5, 173.25)
+    assert (row["min_date"], row["max_date"]) == (dt.date(2024, 1, 4), dt.date(2024, 1, 31))
 
 
 def zone_rows(silver, lookup):
@@ -65,9 +65,9 @@ def zone_rows(silver, lookup):
 
 def test_zone_values(silver, lookup):
     rows = zone_rows(silver, lookup)
-    assert set(rows) == {161, 237, 132, 79, 43}
+    assert set(rows) == {100, 230, 138, 79, 20}
     assert rows[79]["zone_name"] is None and rows[79]["borough_group"] is None
-    assert rows[132]["is_airport"] and rows[132]["total_revenue"] == 70.55
+    assert rows[138]["is_airport"] and rows[138]["total_revenue"] == 90.25
     assert {row["rank_overall_by_pickups"] for row in rows.values()} == {1}
     assert rows[79]["month"] == dt.date(2024, 1, 1)
     assert len(rows[79]) == 22
@@ -91,8 +91,8 @@ def test_ranks_share_ties_within_a_borough(frame, lookup):
 
 def test_zones_listed_twice_count_as_in_a_join(silver, lookup):
     """As joining first and grouping after: equal rows add up, others stand apart."""
-    twice = lookup.union(lookup.where("LocationID = 161"))
-    other = lookup.where("LocationID = 237").withColumn("Zone", F.lit("other name"))
+    twice = lookup.union(lookup.where("LocationID = 100"))
+    other = lookup.where("LocationID = 230").withColumn("Zone", F.lit("other name"))
     dim = zones.dim_zones(twice.union(other))
     rows = zones.zone_metrics(silver, dim).collect()
     joined = silver.join(dim, silver["pickup_location_id"] == dim["location_id"], "left")
@@ -106,7 +106,7 @@ def test_zones_listed_twice_count_as_in_a_join(silver, lookup):
         (r["location_id"], r["zone_name"]): (r["total_pickups"], r["total_revenue"]) for r in rows
     }
     assert found == expected
-    assert found[161, "zone 161"] == (2, 34.0)
+    assert found[100, "zone 100"] == (2, 60.0)
 
 
 def test_join_keeps_trips_of_unknown_zones(silver, lookup):

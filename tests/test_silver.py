@@ -23,16 +23,17 @@ def test_sample_values(sample):
     def column(name):
         return [row[name] for row in rows]
 
-    assert column("pickup_hour") == [8, 9, 14, 22, 23]
-    assert column("pickup_dow") == [2, 2, 3, 7, 4]
-    assert column("trip_duration_min") == [25, 25, 40, 30, 21]
-    assert column("tip_rate") == [3 / 12, 0, 10 / 52, 4 / 14, 0]
-    assert column("revenue_per_minute") == [17 / 25, 20 / 25, 70.55 / 40, 20 / 30, 10 / 21]
-    assert column("payment_type") == ["Credit Card", "Cash", "Credit Card", "Credit Card", "Cash"]
+    assert column("pickup_hour") == [6, 19, 0, 16, 23]
+    assert column("pickup_dow") == [5, 5, 6, 1, 4]
+    assert column("trip_duration_min") == [30, 20, 48, 15, 12]
+    assert column("tip_rate") == [6 / 20, 0, 15 / 60, 0, 2 / 10]
+    assert column("revenue_per_minute") == [30 / 30, 26 / 20, 90.25 / 48, 12 / 15, 15 / 12]
+    card = "Credit Card"
+    assert column("payment_type") == [card, "Cash", card, "No Charge", card]
     assert column("rate_code")[2] == "JFK"
     assert column("is_store_and_forward") == [False, False, True, False, False]
-    assert column("is_airport_trip") == [False, False, True, False, False]
-    assert column("passenger_count") == [1, 2, 1, 3, 1]
+    assert column("is_airport_trip") == [False, True, True, False, False]
+    assert column("passenger_count") == [2, 4, 3, 5, 1]
 
 
 def cleaned(frame, **values):
@@ -191,7 +192,7 @@ def test_deduplication_against_brute_force(frame, rows):
 
 
 def test_a_key_with_most_rows_is_reduced_before_the_shuffle(frame, spark):
-    hot = [trip(total_amount=float(i)) for i in range(400)]
+    hot = [{**SAMPLE[0], "total_amount": float(i)} for i in range(400)]
     bronze = frame(hot + SAMPLE).repartition(8)
     kept = trips.latest_trips(bronze)
     assert kept.count() == 5
