@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 # reach 1e26 and a single value 1e16.
 ADDED_AS = "decimal(28,12)"
 
-# Rank error of the percentile sketch is 1 / PERCENTILE_ACCURACY of the rows.
-PERCENTILE_ACCURACY = 10_000
-
 
 def at_least(value: Column, floor: float | int, default: float | int | None = None) -> Column:
     """The larger of value and floor, with NULL taken as ``default``.
@@ -56,9 +53,15 @@ def share(condition: Column, digits: int = 4) -> Column:
     return F.round(safe_divide(F.count_if(condition), F.count(F.lit(1))), digits)
 
 
-def percentiles(value: Column, *fractions: float) -> Column:
-    """Array of values of the column at the fractions: one mergeable sketch."""
-    return F.percentile_approx(value, list(fractions), PERCENTILE_ACCURACY)
+def percentiles(name: str, *fractions: float) -> Column:
+    """Array of the first values, rounded to cents, that reach each share of the rows.
+
+    Exact for any number of rows and any partitioning: tasks count the distinct
+    cents of each group and add up the counts, so what a group takes is bounded by
+    its distinct cents, not by its rows. NULLs do not count.
+    """
+    exact = "percentile_disc({}) WITHIN GROUP (ORDER BY round(`{}`, 2))"
+    return F.array(*[F.expr(exact.format(fraction, name)) for fraction in fractions])
 
 
 def percent_text(rate: Column, digits: int = 2) -> Column:

@@ -61,7 +61,7 @@ def kpi_daily_revenue(
             share(_paid_by("Credit Card")).alias("credit_card_rate"),
             F.count_if("is_airport_trip").alias("airport_trips"),
             share(F.col("is_airport_trip")).alias("airport_trip_rate"),
-            percentiles(total, 0.5, 0.9, 0.99).alias("revenue_at"),
+            percentiles("total_amount", 0.5, 0.9, 0.99).alias("revenue_at"),
         )
     )
     count = F.col("total_trips")
@@ -96,9 +96,9 @@ def kpi_daily_revenue(
         "airport_trip_rate",
         per("revenue", F.col("miles"), 2).alias("revenue_per_mile"),
         per("revenue", F.col("minutes"), 4).alias("revenue_per_minute"),
-        F.round(F.col("revenue_at")[0], 2).alias("p50_revenue"),
-        F.round(F.col("revenue_at")[1], 2).alias("p90_revenue"),
-        F.round(F.col("revenue_at")[2], 2).alias("p99_revenue"),
+        F.col("revenue_at")[0].alias("p50_revenue"),
+        F.col("revenue_at")[1].alias("p90_revenue"),
+        F.col("revenue_at")[2].alias("p99_revenue"),
         stamp(as_of).alias("updated_at"),
         month_text(F.col("pickup_date")).alias("_execution_date"),
     )

@@ -47,7 +47,7 @@ def hourly_metrics(trips: DataFrame, months: Months = None) -> DataFrame:
             F.round(trips_per_day, 1).alias("avg_trips_per_day"),
             F.round(exact_avg(total), 2).alias("avg_revenue"),
             F.round(exact_sum(total), 2).alias("total_revenue"),
-            F.round(percentiles(total, 0.5)[0], 2).alias("median_revenue"),
+            percentiles("total_amount", 0.5)[0].alias("median_revenue"),
             F.round(exact_avg(F.col("trip_distance_miles")), 2).alias("avg_distance_miles"),
             F.round(F.avg("trip_duration_min"), 1).alias("avg_duration_min"),
             F.round(F.avg("passenger_count"), 2).alias("avg_passengers"),

@@ -1,8 +1,10 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from fareloom.functions.measures import percentiles
 from fareloom.operators import zones
 from fareloom.operators.daily import gold_month_stats, kpi_daily_revenue
 from fareloom.operators.hourly import kpi_hourly_patterns
@@ -139,3 +141,13 @@ def test_hourly_values(frame):
     assert saturday["time_of_day_segment"] == "Late Night"
     assert monday["demand_index"] == round(2.5 / 1.75, 3)
     assert len(monday) == 19
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_percentiles_are_exact_on_a_large_day(spark, partitions):
+    rows = spark.range(110_000, numPartitions=partitions)
+    cents = (F.col("id") * 7919 % 20_011) / 100
+    found = rows.select(cents.alias("total_amount")).agg(percentiles("total_amount", 0.5, 0.9, 0.99))
+    ordered = sorted(i * 7919 % 20_011 for i in range(110_000))
+    wanted = [ordered[math.ceil(110_000 * p / 100) - 1] / 100 for p in (50, 90, 99)]
+    assert found.first()[0] == wanted
