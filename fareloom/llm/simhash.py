@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,9 @@ SHINGLE, RADIUS = 3, 2
 #: Verification of pairs: words of a shingle, least similarity, and shingle hashes
 #: of a sketch (texts with no more shingles are compared exactly).
 VERIFY_SHINGLE, SIMILAR, SKETCH = 5, 0.8, 128
+#: Seeded fingerprints of single words per text that propose near copies, and the
+#: bits of each: short, so that a fiftieth of the words moves one by two bits or so.
+SEEDS, SEED_BITS = 6, 32
 #: Words that are hashed and counted at once.
 BLOCK = 200_000
 
@@ -52,22 +56,25 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", t
     return frame.mapInArrow(compute, f"`{key}` {frame.schema[key].dataType.simpleString()}, fp long")
 
 
-def ball_links(distinct: DataFrame) -> DataFrame:
+def ball_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     """Links (``a`` < ``b``) that connect all fingerprints at most two bits apart.
 
-    Every fingerprint emits itself and its 64 variants with one bit changed: two
-    fingerprints at most two bits apart meet on a variant. A variant gathers 65
-    fingerprints at most, all within two bits of each other, so the links of each
-    to the least one connect them; the distance of each link is verified. The
-    input must not repeat fingerprints.
+    Every fingerprint emits itself and its variants with one of its low ``bits``
+    changed: two fingerprints at most two bits apart meet on a variant. A variant
+    gathers 65 fingerprints at most, all within two bits of each other, so the links
+    of each to the least one connect them; the distance of each link is verified.
+    The input must not repeat fingerprints.
     """
-    masks = [0] + [(1 << b) - (1 << 64 if b == 63 else 0) for b in range(BITS)]
-    variants = F.array(*[F.col("fp").bitwiseXOR(F.lit(mask).cast("long")) for mask in masks])
+    masks = [0] + [(1 << b) - (1 << 64 if b == 63 else 0) for b in range(bits)]
+    listed = F.array(*[F.lit(mask).cast("long") for mask in masks])
+    variants = F.transform(listed, lambda mask: F.col("fp").bitwiseXOR(mask))
+    # What travels is the variant and the place of its mask, which give the fingerprint.
     met = (
-        distinct.select("fp", F.explode(variants).alias("variant"))
+        distinct.select(F.posexplode(variants).alias("at", "variant"))
         .groupBy("variant")
-        .agg(F.collect_list("fp").alias("fps"))
-        .where(F.size("fps") > 1)
+        .agg(F.collect_list(F.col("at").cast("byte")).alias("ats"))
+        .where(F.size("ats") > 1)
+        .withColumn("fps", F.transform("ats", lambda at: F.col("variant").bitwiseXOR(F.get(listed, at.cast("int")))))
         .select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
     )
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
@@ -137,6 +144,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id"
     )
 
 
+def seeded_fingerprints(found: list[bytes]) -> np.ndarray:
+    """``SEEDS`` independent fingerprints of single words, the seed above the bits of each."""
+    counts = np.zeros(SEEDS * SEED_BITS, np.int64)
+    counted = list(Counter(found).items())
+    digest, more = xxhash.xxh3_128_digest, xxhash.xxh3_64_digest
+    for start in range(0, len(counted), BLOCK):
+        part = counted[start : start + BLOCK]
+        digests = b"".join([digest(w) + more(w, 1) for w, _ in part])
+        bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
+        # Words that occur once, mostly most of them, are summed without weights.
+        weights = np.array([n for _, n in part], np.int64)
+        counts += bits.sum(axis=0, dtype=np.int64)
+        counts += (weights[weights > 1, None] - 1).T[0] @ bits[weights > 1]
+    values = np.packbits(counts * 2 > len(found), bitorder="little").view("<u4").astype(np.int64)
+    return values | np.arange(SEEDS, dtype=np.int64) << SEED_BITS
+
+
+def seeded_roots(classes: DataFrame) -> DataFrame:
+    """``node`` and ``root`` of the seeded fingerprints (column ``fps``) of distinct texts.
+
+    Fingerprints of one seed are linked within ``RADIUS``, and all fingerprints of a
+    text are linked to its first one: texts that any seed brings together share a root.
+    """
+    fps = classes.select(F.explode("fps").alias("fp")).distinct()
+    own = classes.select(F.col("fps")[0].alias("a"), F.explode(F.slice("fps", 2, SEEDS - 1)).alias("b")).distinct()
+    return components(ball_links(fps, SEED_BITS).unionByName(own))
+
+
 def sketch(text: str | None) -> np.ndarray:
     """The least ``SKETCH`` hashes of the text's 5-word shingles, in order."""
     found = (text or "").encode().lower().split()
@@ -155,8 +190,9 @@ def similarity(a: str, b: str) -> Column:
 def verified_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Keys of rows that are near copies of a row with a smaller key.
 
-    Candidates are the components of fingerprints of single words: a few changed
-    words move these by two bits or less, but unlike texts may meet too. Each
+    Candidates are the components of several seeded fingerprints of single words: a
+    few changed words move some of these by two bits or less, but unlike texts may
+    meet too. Each
     candidate is therefore compared to the first row of those of its component
     that share its least shingle hash, then, if it stays, its second-least (the
     least under another order); it is a copy at a similarity of 0.8 or more. NULL
@@ -167,16 +203,17 @@ def verified_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         for batch in batches:
             texts = batch.column(1).to_pylist()
             yield pa.record_batch(
-                [batch.column(0), pa.array(np.array([fingerprint(x, 1) for x in texts], np.uint64).view(np.int64)),
+                [batch.column(0),
+                 pa.array([seeded_fingerprints((x or "").encode().lower().split()) for x in texts], pa.list_(pa.int64())),
                  pa.array([sketch(x) for x in texts], pa.list_(pa.int64()))],
-                names=[key, "fp", "sketch"],
+                names=[key, "fps", "sketch"],
             )
 
     frame = docs.select(key, text).where(F.col(key).isNotNull())
     kind = frame.schema[key].dataType.simpleString()
-    marked = written(frame.mapInArrow(compute, f"`{key}` {kind}, fp long, sketch array<long>"), "sketches")
-    roots = components(ball_links(marked.select("fp").distinct())).withColumnRenamed("node", "fp")
-    rows = marked.join(roots, "fp", "left").select(
+    marked = written(frame.mapInArrow(compute, f"`{key}` {kind}, fps array<long>, sketch array<long>"), "sketches")
+    roots = seeded_roots(marked.select("fps")).withColumnRenamed("node", "fp")
+    rows = marked.withColumn("fp", F.col("fps")[0]).join(roots, "fp", "left").select(
         key,
         F.coalesce("root", "fp").alias("root"),
         "sketch",

@@ -115,6 +115,45 @@ def test_verified_copies_leave_one_of_each_group(docs, no_docs):
     assert simhash.verified_copies(no_docs).count() == 0
 
 
+def _shingles(text: str | None) -> set:
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def _near_copies(rows: list[tuple]) -> set:
+    """Keys of rows with an earlier row at 0.8 or more, by brute force."""
+    sets = sorted((i, _shingles(t)) for i, t in rows)
+    return {
+        i
+        for n, (i, a) in enumerate(sets)
+        if any(k < i and 5 * len(a & b) >= 4 * len(a | b) for k, b in sets[:n])
+    }
+
+
+def _changed_inside() -> list[tuple]:
+    """Texts, and each again with one to six words changed inside."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(150):
+        drawn = rng.zipf(1.3, 240) % 5000 if i % 2 else rng.integers(0, 5000, 240)
+        words = [f"w{x}" for x in drawn]
+        rows.append((i, " ".join(words)))
+        changed = list(words)
+        for at in rng.choice(240, 1 + i % 6, replace=False):
+            changed[at] = f"new{rng.integers(10**6)}"
+        rows.append((1000 + i, " ".join(changed)))
+    return rows
+
+
+def test_seeds_bring_texts_with_changed_words_together():
+    rows = dict(_changed_inside())
+    near = _near_copies(list(rows.items()))
+    assert len(near) > 100
+    prints = {i: simhash.seeded_fingerprints(t.encode().split()) for i, t in rows.items()}
+    met = [i for i in near if any(int(x).bit_count() <= simhash.RADIUS for x in prints[i] ^ prints[i - 1000])]
+    assert len(met) >= 0.99 * len(near)
+
+
 def test_removed_windows(docs, no_docs, texts):
     first: dict[tuple, int] = {}
     words = {i: (t or "").encode().split() for i, t in sorted(texts.items())}
