@@ -154,6 +154,17 @@ def test_seeds_bring_texts_with_changed_words_together():
     assert len(met) >= 0.99 * len(near)
 
 
+def test_verified_copies_equal_brute_force(spark):
+    rows = _changed_inside()
+    # One passage in many texts, and copies whose least hashes it may own.
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows += [(2000 + i, f"{passage} {prose(i, 40 + i % 30)}") for i in range(120)]
+    rows += [(3000 + i, f"{passage} {prose(i, 40 + i % 30)} end") for i in range(0, 120, 2)]
+    rows += [(4000 + i, rows[i][1].upper()) for i in range(20)] + [(5000, "short one"), (5001, "short one")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id for r in simhash.verified_copies(frame).collect()} == _near_copies(rows)
+
+
 def test_removed_windows(docs, no_docs, texts):
     first: dict[tuple, int] = {}
     words = {i: (t or "").encode().split() for i, t in sorted(texts.items())}
