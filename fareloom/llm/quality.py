@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import words
+from fareloom.llm.common import words, written
 
 # Very common words of four languages, in order of commonness.
 COMMON_WORDS = {
@@ -35,8 +35,6 @@ MOST_CHAR_DISTANCE = 0.27
 RATHER_FAR = (0.14, 0.30)
 #: A reference is the mean of the histograms of this many texts at least.
 LEAST_TEXTS = 20
-#: References are built for the languages with most texts, this many of them.
-MOST_REFERENCES = 200
 
 
 def _repeat_words(listed: str) -> list[tuple[str, Column]]:
@@ -128,11 +126,12 @@ def _shares(counts: str) -> Column:
     return F.transform(counts, lambda n: n / F.nullif(total, F.lit(0)))
 
 
-def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[Row]:
-    """Mean shares of both histograms per language, over all rows long enough.
+def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """One row: the languages with enough texts and their mean shares of both histograms.
 
-    At most ``MOST_REFERENCES`` rows come to the driver. Each text weighs the
-    same, so one very long text does not bend a reference.
+    ``langs``, ``chars`` and ``words`` are arrays in one order, empty without
+    references. Each text weighs the same, so one very long text does not bend a
+    reference.
     """
     n_chars, n_words = len(CHAR_CLASSES) + 1, len(WORD_BINS) + 1
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
@@ -144,7 +143,7 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
         .select("lang", _shares("_char_counts").alias("c"), _shares("_word_counts").alias("w"))
     )
     mean = lambda name, i: F.round(F.avg(F.get(name, F.lit(i))), 9)
-    return (
+    means = (
         shares.groupBy("lang")
         .agg(
             F.count(F.lit(1)).alias("texts"),
@@ -152,9 +151,10 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
             F.array(*[mean("w", i) for i in range(n_words)]).alias("words"),
         )
         .where(F.col("texts") >= LEAST_TEXTS)
-        .orderBy(F.desc("texts"), "lang")
-        .limit(MOST_REFERENCES)
-        .collect()
+    )
+    listed = F.sort_array(F.collect_list(F.struct("lang", "chars", "words")))
+    return means.agg(listed.alias("found")).select(
+        F.col("found.lang").alias("langs"), F.col("found.chars").alias("chars"), F.col("found.words").alias("words")
     )
 
 
@@ -166,12 +166,9 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
-def nearest(shares: str, references: list[list[float]]) -> Column:
+def nearest(shares: str, references: str) -> Column:
     """Distance to the nearest reference; NULL without references."""
-    if not references:
-        return F.lit(None).cast("double")
-    listed = F.array(*[F.array(*[F.lit(float(x)) for x in ref]) for ref in references])
-    return F.array_min(F.transform(listed, lambda ref: js_distance(F.col(shares), ref)))
+    return F.array_min(F.transform(references, lambda ref: js_distance(F.col(shares), ref)))
 
 
 NEW = (
@@ -187,28 +184,35 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     in repeated 3-word windows. It also fails if its character classes lie too
     far from every language reference, or both these and its common words lie
     rather far; texts below ``LEAST_WORDS`` are not compared, nor are any without
-    references. NULL and empty texts fail, an empty table gives no rows, repeated
-    rows are judged alike and a language without a reference of its own is
-    compared to the others. Other columns are kept, but for those named as new.
+    references. Texts of a language that has too few texts for a reference get
+    distances too, but do not fail by them: other languages say nothing of it. Texts
+    without a language are compared to all. NULL and empty texts fail, an empty table
+    gives no rows and repeated rows are judged alike. Other columns are kept, but for those named as new.
     """
-    references = language_references(docs, text, lang)
+    references = written(language_references(docs, text, lang), "references").select(
+        F.col("langs").alias("_langs"), F.col("chars").alias("_ref_chars"), F.col("words").alias("_ref_words")
+    )
     own = [c for c in docs.columns if c not in NEW]
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text")
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"),
+        F.coalesce(F.col(text), F.lit("")).alias("_text"),
+        F.col(lang).alias("_lang"),
     )
     compared = (
         counts(histograms(rows))
+        .crossJoin(F.broadcast(references))
         .withColumns({"_chars": _shares("_char_counts"), "_shares": _shares("_word_counts")})
         .withColumns(
             {
-                "char_distance": nearest("_chars", [row.chars for row in references]),
-                "word_distance": nearest("_shares", [row.words for row in references]),
+                "char_distance": nearest("_chars", "_ref_chars"),
+                "word_distance": nearest("_shares", "_ref_words"),
             }
         )
     )
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     beyond = lambda name, most: F.coalesce(F.col(name) > most, F.lit(False))
-    diverges = (F.col("n_words") >= LEAST_WORDS) & (
+    comparable = F.coalesce(F.array_contains("_langs", F.col("_lang")), F.lit(True))
+    diverges = (F.col("n_words") >= LEAST_WORDS) & comparable & (
         beyond("char_distance", MOST_CHAR_DISTANCE)
         | (beyond("char_distance", RATHER_FAR[0]) & beyond("word_distance", RATHER_FAR[1]))
     )

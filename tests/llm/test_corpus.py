@@ -69,6 +69,20 @@ def test_quality_rejects_texts_far_from_all_references(spark):
     assert not kept[99] and all(kept[i] for i in range(40))
 
 
+def test_quality_keeps_small_languages(spark):
+    cyrillic = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувшхыз")
+    rows = [(i, prose(i, 120), "xx") for i in range(40)]
+    rows += [(100 + i, prose(i, 120).translate(cyrillic), "yy") for i in range(quality.LEAST_TEXTS - 1)]
+    # More languages than were once compared; and a far text of unknown language.
+    rows += [(1000 + i, prose(i, 60), f"l{i // 20:03}") for i in range(20 * 201)]
+    rows += [(10_000 + i, prose(i, 120).translate(cyrillic), "zz") for i in range(quality.LEAST_TEXTS)]
+    rows += [(20_000, " ".join(f"#%&*{i}" for i in range(90)), None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = quality.judge(frame)
+    lost = {r.doc_id for r in judged.where(~F.col("kept") & ~F.col("base_failed")).select("doc_id").collect()}
+    assert lost == {20_000}
+
+
 def _fingerprint(text: str | None) -> int:
     words = (text or "").encode().lower().split()
     parts = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
