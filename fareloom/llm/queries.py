@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import chat, languages, lm, packing, pieces, quality, shards, simhash, substrings, topk
+from fareloom.llm import (
+    chat,
+    infill,
+    languages,
+    lm,
+    packing,
+    phrases,
+    pieces,
+    quality,
+    shards,
+    simhash,
+    substrings,
+    topk,
+    windows,
+)
 from fareloom.llm.common import crc_fold, ship
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -82,6 +96,18 @@ def op10_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_documents(spark, sf_dir))
+
+
+def op12_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.pack(_documents(spark, sf_dir), tokenizer_path(WORD_TOKENIZER))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.measured(infill.fill_in_middle(_documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -95,5 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_prefix_targets,
         op9_best_fit,
         op10_word_backoff,
+        op11_son_phrases,
+        op12_concat_and_cut,
+        op13_fill_in_middle,
     )
 }
