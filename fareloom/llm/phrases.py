@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareloom.llm.common import written
@@ -26,7 +27,7 @@ ABSORB_PERCENT = 100
 SHARDS = 8
 
 #: Characters of a chunk, the unit of work, and of what is split into words at once.
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 32_000_000
 SLICE_BYTES = 8_000_000
 REQUEST_ROWS = 200_000
 #: Rows of (language, shard) totals that are sent to all executors; more are shuffled.
@@ -35,12 +36,14 @@ MOST_BROADCAST = 500_000
 UNDETERMINED = "und"
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 
-CHUNKS = "chunk long, lang string, shard int, words long, ids binary, alive binary, hashes binary, vocab string"
+CHUNKS = "chunk long, lang string, shard int, words long, ids binary, alive binary, vocab binary"
 REQUESTS = "hash long, chunk long, cell long, n long"
 MINED = (
-    "chunk long, lang string, lang_words long, cell long, ids binary, alive binary, hashes binary, vocab string, "
+    "chunk long, lang string, lang_words long, cell long, ids binary, alive binary, vocab binary, "
     "labels array<struct<phrase: string, n: long>>"
 )
+#: Once a table is written, the shuffles it came from are of no more use.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LABELS = pa.list_(pa.struct([("phrase", pa.string()), ("n", pa.int64())]))
 
 
@@ -73,6 +76,32 @@ def word_stream(texts: pa.Array, known: dict[str, int]) -> np.ndarray:
     return ids[(ids >= 0) | np.append(False, ids[:-1] >= 0)]
 
 
+def packed(content: bytes) -> bytes:
+    """Length and compressed content."""
+    return len(content).to_bytes(8, "little") + pa.compress(content, "zstd", asbytes=True)
+
+
+def unpacked(content: bytes) -> bytes:
+    return pa.decompress(content[8:], int.from_bytes(content[:8], "little"), "zstd", asbytes=True)
+
+
+def packed_stream(ids: np.ndarray, alive: np.ndarray, vocab: list[str]) -> tuple[bytes, bytes, bytes]:
+    """What a chunk keeps: its stream, where phrases start, and its words."""
+    content = (ids.astype(np.int32).tobytes(), np.packbits(alive).tobytes(), " ".join(vocab).encode())
+    return tuple(map(packed, content))
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark removes the shuffle files of every query that has ended."""
+    before = spark.conf.get(REMOVE_SHUFFLES)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def chunked(docs: DataFrame) -> DataFrame:
     """Word streams of the texts in chunks of one language each.
 
@@ -89,15 +118,13 @@ def chunked(docs: DataFrame) -> DataFrame:
             rows = []
             for lang, parts in streams.items():
                 ids = np.concatenate(parts)
-                prefix = lang.encode() + b"\0"
-                hashes = np.array([xxhash.xxh64_intdigest(prefix + w.encode()) for w in known[lang]], np.uint64)
-                alive = np.packbits(ids >= 0).tobytes()
-                rows.append((part << 24 | made, lang, part % SHARDS, int((ids >= 0).sum()), ids.tobytes(), alive,
-                             hashes.tobytes(), " ".join(known[lang])))
+                alive = ids >= 0
+                stream = packed_stream(ids, alive, list(known[lang]))
+                rows.append((part << 24 | made, lang, part % SHARDS, int(alive.sum()), *stream))
                 made += 1
             known.clear()
             streams.clear()
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), *[pa.binary()] * 3, pa.string())
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), *[pa.binary()] * 3)
             columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
             names = [column.split()[0] for column in CHUNKS.split(", ")]
             return pa.record_batch(
@@ -155,10 +182,14 @@ def grams(ids: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
 class Stream:
     """A chunk's words, and where phrases start that all shards' union holds."""
 
-    def __init__(self, ids: bytes, alive: bytes, hashes: bytes) -> None:
-        self.ids = np.frombuffer(ids, np.int32)
-        self.alive = np.unpackbits(np.frombuffer(alive, np.uint8), count=len(self.ids)).astype(bool)
-        self.hashes = np.frombuffer(hashes, np.uint64)
+    def __init__(self, row: dict) -> None:
+        self.ids = np.frombuffer(unpacked(row["ids"]), np.int32)
+        starts = np.frombuffer(unpacked(row["alive"]), np.uint8)
+        self.alive = np.unpackbits(starts, count=len(self.ids)).astype(bool)
+        text = unpacked(row["vocab"])
+        self.vocab = text.decode().split(" ") if text else []
+        prefix = row["lang"].encode() + b"\0"
+        self.hashes = np.array([xxhash.xxh64_intdigest(prefix + w.encode()) for w in self.vocab], np.uint64)
 
     def candidates(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of phrases of ``k`` words whose two shorter ones are held."""
@@ -173,7 +204,7 @@ def requests(chunks: DataFrame, k: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                stream = Stream(row["ids"], row["alive"], row["hashes"])
+                stream = Stream(row)
                 found, n = np.unique(stream.candidates(k)[1], return_counts=True)
                 for i in range(0, len(found), REQUEST_ROWS):
                     some = found[i : i + REQUEST_ROWS].view(np.int64)
@@ -185,7 +216,7 @@ def requests(chunks: DataFrame, k: int) -> DataFrame:
                         names=["hash", "chunk", "cell", "n"],
                     )
 
-    return chunks.select("chunk", "cell", "ids", "alive", "hashes").mapInArrow(count, REQUESTS)
+    return chunks.select("chunk", "lang", "cell", "ids", "alive", "vocab").mapInArrow(count, REQUESTS)
 
 
 def mined(asked: DataFrame) -> DataFrame:
@@ -221,20 +252,18 @@ def narrowed(chunks: DataFrame, replies: DataFrame, k: int, last: bool) -> DataF
         order = np.argsort(held)
         held, n = held[order], right["n"].to_numpy()[order]
         home = right["home"].to_numpy(zero_copy_only=False).astype(bool)[order]
-        stream = Stream(row["ids"], row["alive"], row["hashes"])
+        stream = Stream(row)
         at, found = stream.candidates(k)
         place = np.minimum(np.searchsorted(held, found), len(held) - 1)
-        kept = held[place] == found
-        at, place = at[kept], place[kept]
-        vocab = row["vocab"].split(" ")
+        same = held[place] == found
+        at, place = at[same], place[same]
         one, first = np.unique(place, return_index=True)
         labels = [
-            {"phrase": " ".join(vocab[w] for w in stream.ids[at[i] : at[i] + k]), "n": int(n[p])}
+            {"phrase": " ".join(stream.vocab[w] for w in stream.ids[at[i] : at[i] + k]), "n": int(n[p])}
             for p, i in zip(one, first, strict=True)
             if home[p]
         ]
-        ids = alive = hashes = b""
-        words = ""
+        kept = packed_stream(stream.ids[:0], stream.alive[:0], [])
         if not last:
             alive = np.zeros(len(stream.ids), bool)
             alive[at] = True
@@ -242,21 +271,19 @@ def narrowed(chunks: DataFrame, replies: DataFrame, k: int, last: bool) -> DataF
             np.add.at(edges, at, 1)
             np.add.at(edges, at + k, -1)
             covered = np.cumsum(edges[:-1]) > 0
-            kept = covered | np.append(False, covered[:-1])
-            ids = np.where(covered, stream.ids, -1)[kept]
+            more = covered | np.append(False, covered[:-1])
+            ids = np.where(covered, stream.ids, -1)[more]
             used, again = np.unique(ids[ids >= 0], return_inverse=True)
             ids[ids >= 0] = again
-            ids, alive = ids.astype(np.int32).tobytes(), np.packbits(alive[kept]).tobytes()
-            hashes, words = stream.hashes[used].tobytes(), " ".join(vocab[w] for w in used)
-        row |= {"ids": ids, "alive": alive, "hashes": hashes, "vocab": words, "labels": labels}
+            kept = packed_stream(ids, alive[more], [stream.vocab[w] for w in used])
+        row |= dict(zip(("ids", "alive", "vocab"), kept, strict=True)) | {"labels": labels}
         return pa.table([pa.array([row[name]], field.type) for name, field in zip(names, out, strict=True)], schema=out)
 
     out = pa.schema(
         [("chunk", pa.int64()), ("lang", pa.string()), ("lang_words", pa.int64()), ("cell", pa.int64()),
-         ("ids", pa.binary()), ("alive", pa.binary()), ("hashes", pa.binary()), ("vocab", pa.string()),
-         ("labels", LABELS)]
+         ("ids", pa.binary()), ("alive", pa.binary()), ("vocab", pa.binary()), ("labels", LABELS)]
     )
-    left = chunks.select("chunk", "lang", "lang_words", "cell", "ids", "alive", "hashes", "vocab")
+    left = chunks.select("chunk", "lang", "lang_words", "cell", "ids", "alive", "vocab")
     return left.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(narrow, MINED)
 
 
@@ -269,13 +296,15 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least_count: int =
     where the two phrases one word shorter are in the union. ``f`` counts a phrase and
     ``n`` all words of its language.
     """
-    chunks = with_support(written(chunked(docs), "chunks"), least_count)
     labels = []
-    for k in range(1, longest + 1):
-        chunks = written(narrowed(chunks, mined(requests(chunks, k)), k, k == longest), f"mined{k}")
-        labels.append(chunks.select("lang", F.col("lang_words").alias("n"), F.inline("labels").alias("phrase", "f")))
-    found = reduce(DataFrame.unionByName, labels).where(F.col("f") >= least_count)
-    return written(found.select("lang", "phrase", "f", "n"), "phrases")
+    with shuffles_removed(docs.sparkSession):
+        chunks = with_support(written(chunked(docs), "chunks"), least_count)
+        for k in range(1, longest + 1):
+            chunks = written(narrowed(chunks, mined(requests(chunks, k)), k, k == longest), f"mined{k}")
+            spelled = F.inline("labels").alias("phrase", "f")
+            labels.append(chunks.select("lang", F.col("lang_words").alias("n"), spelled))
+        found = reduce(DataFrame.unionByName, labels).where(F.col("f") >= least_count)
+        return written(found.select("lang", "phrase", "f", "n"), "phrases")
 
 
 def _words(phrase: str = "phrase") -> Column:
