@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,11 @@ ABSORB_PERCENT = 100
 #: the local support is the least count, parted among them.
 SHARDS = 8
 
-#: Characters of a chunk, the unit of work, and of what is split into words at once.
+#: Characters of a chunk, and of what is split into words at once; words of a unit, which
+#: is made of chunks and is what one task counts. Counts of a unit are shuffled, so larger
+#: units shuffle less.
 CHUNK_CHARS = 32_000_000
+UNIT_WORDS = 4_000_000
 SLICE_BYTES = 8_000_000
 REQUEST_ROWS = 200_000
 #: Rows of (language, shard) totals that are sent to all executors; more are shuffled.
@@ -37,11 +40,9 @@ UNDETERMINED = "und"
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 
 CHUNKS = "chunk long, lang string, shard int, words long, ids binary, alive binary, vocab binary"
-REQUESTS = "hash long, chunk long, cell long, n long"
-MINED = (
-    "chunk long, lang string, lang_words long, cell long, ids binary, alive binary, vocab binary, "
-    "labels array<struct<phrase: string, n: long>>"
-)
+REQUESTS = "hash long, unit long, cell long, n long"
+UNITS = "unit long, lang string, lang_words long, cell long, ids binary, alive binary, vocab binary"
+MINED = f"{UNITS}, labels array<struct<phrase: string, n: long>>"
 #: Once a table is written, the shuffles it came from are of no more use.
 REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LABELS = pa.list_(pa.struct([("phrase", pa.string()), ("n", pa.int64())]))
@@ -164,7 +165,7 @@ def with_support(chunks: DataFrame, least_count: int) -> DataFrame:
     )
     if totals.count() <= MOST_BROADCAST:
         known = F.broadcast(known)
-    return chunks.drop("words").join(known, ["lang", "shard"]).drop("shard")
+    return chunks.join(known, ["lang", "shard"]).drop("shard")
 
 
 def grams(ids: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
@@ -180,7 +181,7 @@ def grams(ids: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 class Stream:
-    """A chunk's words, and where phrases start that all shards' union holds."""
+    """A unit's words, and where phrases start that all shards' union holds."""
 
     def __init__(self, row: dict) -> None:
         self.ids = np.frombuffer(unpacked(row["ids"]), np.int32)
@@ -188,8 +189,12 @@ class Stream:
         self.alive = np.unpackbits(starts, count=len(self.ids)).astype(bool)
         text = unpacked(row["vocab"])
         self.vocab = text.decode().split(" ") if text else []
-        prefix = row["lang"].encode() + b"\0"
-        self.hashes = np.array([xxhash.xxh64_intdigest(prefix + w.encode()) for w in self.vocab], np.uint64)
+        self.lang = row["lang"]
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        prefix = self.lang.encode() + b"\0"
+        return np.array([xxhash.xxh64_intdigest(prefix + w.encode()) for w in self.vocab], np.uint64)
 
     def candidates(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of phrases of ``k`` words whose two shorter ones are held."""
@@ -198,37 +203,69 @@ class Stream:
         return at, grams(self.ids, self.hashes, k)[at] if len(at) else np.zeros(0, np.uint64)
 
 
-def requests(chunks: DataFrame, k: int) -> DataFrame:
-    """How often each chunk has each of its candidates of ``k`` words."""
+def units(chunks: DataFrame) -> DataFrame:
+    """Chunks of one language and shard put together, up to some ``UNIT_WORDS``."""
+    order = Window.partitionBy("cell", "lang").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("words").over(order), F.lit(0))
+    numbered = chunks.select("chunk", "lang", "cell", F.floor(before / UNIT_WORDS).alias("number"))
+    # A unit is named by its first chunk.
+    first = F.min("chunk").over(Window.partitionBy("cell", "lang", "number"))
+    dealt = numbered.select("chunk", first.alias("unit"))
+    out = pa.schema(
+        [("unit", pa.int64()), ("lang", pa.string()), ("lang_words", pa.int64()), ("cell", pa.int64()),
+         ("ids", pa.binary()), ("alive", pa.binary()), ("vocab", pa.binary())]
+    )
+
+    def together(table: pa.Table) -> pa.Table:
+        known: dict[str, int] = {}
+        streams = []
+        for batch in table.sort_by("chunk").to_batches(max_chunksize=1):
+            (row,) = batch.to_pylist()
+            stream = Stream(row)
+            numbers = np.array([known.setdefault(w, len(known)) for w in stream.vocab] + [-1], np.int32)
+            streams.append(numbers[stream.ids])
+        ids = np.concatenate(streams)
+        row |= dict(zip(("ids", "alive", "vocab"), packed_stream(ids, ids >= 0, list(known)), strict=True))
+        return pa.table([pa.array([row[f.name]], f.type) for f in out], schema=out)
+
+    near = F.broadcast(dealt) if chunks.count() <= MOST_BROADCAST else dealt
+    return chunks.drop("words").join(near, "chunk").groupBy("unit").applyInArrow(together, UNITS)
+
+
+def requests(parts: DataFrame, k: int) -> DataFrame:
+    """How often each unit has each of its candidates of ``k`` words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 stream = Stream(row)
-                found, n = np.unique(stream.candidates(k)[1], return_counts=True)
+                if k == 1:
+                    found, n = stream.hashes, np.bincount(stream.ids + 1, minlength=len(stream.vocab) + 1)[1:]
+                else:
+                    found, n = np.unique(stream.candidates(k)[1], return_counts=True)
                 for i in range(0, len(found), REQUEST_ROWS):
                     some = found[i : i + REQUEST_ROWS].view(np.int64)
                     size = len(some)
                     yield pa.record_batch(
-                        [pa.array(some), pa.array(np.full(size, row["chunk"], np.int64)),
+                        [pa.array(some), pa.array(np.full(size, row["unit"], np.int64)),
                          pa.array(np.full(size, row["cell"], np.int64)),
                          pa.array(n[i : i + REQUEST_ROWS].astype(np.int64))],
-                        names=["hash", "chunk", "cell", "n"],
+                        names=["hash", "unit", "cell", "n"],
                     )
 
-    return chunks.select("chunk", "lang", "cell", "ids", "alive", "vocab").mapInArrow(count, REQUESTS)
+    return parts.select("unit", "lang", "cell", "ids", "alive", "vocab").mapInArrow(count, REQUESTS)
 
 
 def mined(asked: DataFrame) -> DataFrame:
-    """Phrases that reach the local support of some shard, for each chunk that has them.
+    """Phrases that reach the local support of some shard, for each unit that has them.
 
     The counts of the shards tell which phrases are locally frequent; for the union of
-    these they add up to the exact count of the whole, as every chunk has counted them.
-    Of the chunks that hold a phrase one is its ``home``, which will spell it.
+    these they add up to the exact count of the whole, as every unit has counted them.
+    Of the units that hold a phrase one is its ``home``, which will spell it.
     """
     dealt = asked.repartition("hash")
     support = F.col("cell").bitwiseAND(F.lit((1 << 32) - 1))
-    shards = dealt.groupBy("hash", "cell").agg(F.sum("n").alias("n"), F.min("chunk").alias("home"))
+    shards = dealt.groupBy("hash", "cell").agg(F.sum("n").alias("n"), F.min("unit").alias("home"))
     union = (
         shards.groupBy("hash")
         .agg(F.sum("n").alias("total"), F.min("home").alias("home"), F.max(F.col("n") >= support).alias("held"))
@@ -236,11 +273,11 @@ def mined(asked: DataFrame) -> DataFrame:
         .drop("held")
     )
     replies = dealt.join(union.hint("shuffle_hash"), "hash")
-    return replies.select("chunk", "hash", F.col("total").alias("n"), (F.col("home") == F.col("chunk")).alias("home"))
+    return replies.select("unit", "hash", F.col("total").alias("n"), (F.col("home") == F.col("unit")).alias("home"))
 
 
-def narrowed(chunks: DataFrame, replies: DataFrame, k: int, last: bool) -> DataFrame:
-    """Chunks cut to the phrases of ``k`` words in the union, with those to be spelled."""
+def narrowed(parts: DataFrame, replies: DataFrame, k: int, last: bool) -> DataFrame:
+    """Units cut to the phrases of ``k`` words in the union, with those to be spelled."""
 
     def narrow(left: pa.Table, right: pa.Table) -> pa.Table:
         names = [field.name for field in out]
@@ -253,24 +290,28 @@ def narrowed(chunks: DataFrame, replies: DataFrame, k: int, last: bool) -> DataF
         held, n = held[order], right["n"].to_numpy()[order]
         home = right["home"].to_numpy(zero_copy_only=False).astype(bool)[order]
         stream = Stream(row)
-        at, found = stream.candidates(k)
+        # Words are looked up once each, longer phrases at every start.
+        at, found = (None, stream.hashes) if k == 1 else stream.candidates(k)
         place = np.minimum(np.searchsorted(held, found), len(held) - 1)
         same = held[place] == found
-        at, place = at[same], place[same]
-        one, first = np.unique(place, return_index=True)
+        one, first = np.unique(place[same], return_index=True)
+        starts = np.flatnonzero(same) if k == 1 else at[same]
+        first = [starts[i] for p, i in zip(one, first, strict=True) if home[p]]
+        spelled = [[w] if k == 1 else stream.ids[w : w + k] for w in first]
         labels = [
-            {"phrase": " ".join(stream.vocab[w] for w in stream.ids[at[i] : at[i] + k]), "n": int(n[p])}
-            for p, i in zip(one, first, strict=True)
-            if home[p]
+            {"phrase": " ".join(stream.vocab[w] for w in words), "n": int(count)}
+            for words, count in zip(spelled, n[one[home[one]]], strict=True)
         ]
         kept = packed_stream(stream.ids[:0], stream.alive[:0], [])
         if not last:
-            alive = np.zeros(len(stream.ids), bool)
-            alive[at] = True
-            edges = np.zeros(len(stream.ids) + 1, np.int32)
-            np.add.at(edges, at, 1)
-            np.add.at(edges, at + k, -1)
-            covered = np.cumsum(edges[:-1]) > 0
+            if k == 1:
+                covered = alive = np.append(same, False)[stream.ids]
+            else:
+                alive = np.zeros(len(stream.ids), bool)
+                alive[starts] = True
+                covered = alive.copy()
+                for j in range(1, k):
+                    covered[j:] |= alive[: len(alive) - j]
             more = covered | np.append(False, covered[:-1])
             ids = np.where(covered, stream.ids, -1)[more]
             used, again = np.unique(ids[ids >= 0], return_inverse=True)
@@ -280,29 +321,29 @@ def narrowed(chunks: DataFrame, replies: DataFrame, k: int, last: bool) -> DataF
         return pa.table([pa.array([row[name]], field.type) for name, field in zip(names, out, strict=True)], schema=out)
 
     out = pa.schema(
-        [("chunk", pa.int64()), ("lang", pa.string()), ("lang_words", pa.int64()), ("cell", pa.int64()),
+        [("unit", pa.int64()), ("lang", pa.string()), ("lang_words", pa.int64()), ("cell", pa.int64()),
          ("ids", pa.binary()), ("alive", pa.binary()), ("vocab", pa.binary()), ("labels", LABELS)]
     )
-    left = chunks.select("chunk", "lang", "lang_words", "cell", "ids", "alive", "vocab")
-    return left.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(narrow, MINED)
+    left = parts.select("unit", "lang", "lang_words", "cell", "ids", "alive", "vocab")
+    return left.groupBy("unit").cogroup(replies.groupBy("unit")).applyInArrow(narrow, MINED)
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least_count: int = LEAST_COUNT) -> DataFrame:
     """Phrases of 1 to ``longest`` words: ``lang, phrase, f, n``.
 
-    SON partitioning: the chunks form ``SHARDS`` shards, each of which is mined for
+    SON partitioning: the units form ``SHARDS`` shards, each of which is mined for
     all phrases that reach its local support; the union of these is counted over all
-    chunks exactly. Shards are mined by length of phrase: a phrase is looked at only
+    units exactly. Shards are mined by length of phrase: a phrase is looked at only
     where the two phrases one word shorter are in the union. ``f`` counts a phrase and
     ``n`` all words of its language.
     """
     labels = []
     with shuffles_removed(docs.sparkSession):
-        chunks = with_support(written(chunked(docs), "chunks"), least_count)
+        parts = written(units(with_support(written(chunked(docs), "chunks"), least_count)), "units")
         for k in range(1, longest + 1):
-            chunks = written(narrowed(chunks, mined(requests(chunks, k)), k, k == longest), f"mined{k}")
+            parts = written(narrowed(parts, mined(requests(parts, k)), k, k == longest), f"mined{k}")
             spelled = F.inline("labels").alias("phrase", "f")
-            labels.append(chunks.select("lang", F.col("lang_words").alias("n"), spelled))
+            labels.append(parts.select("lang", F.col("lang_words").alias("n"), spelled))
         found = reduce(DataFrame.unionByName, labels).where(F.col("f") >= least_count)
         return written(found.select("lang", "phrase", "f", "n"), "phrases")
 

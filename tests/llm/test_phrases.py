@@ -61,6 +61,7 @@ def frame_of(spark, rows):
 @pytest.mark.parametrize(("parts", "least"), [(1, 3), (13, 3), (13, 20)])
 def test_phrases_equal_brute_force(spark, sentences, monkeypatch, parts, least):
     monkeypatch.setattr(phrases, "CHUNK_CHARS", 3000)
+    monkeypatch.setattr(phrases, "UNIT_WORDS", 900)
     docs = frame_of(spark, sentences).repartition(parts)
     found = {tuple(row) for row in phrases.mine(docs, least_count=least).collect()}
     assert found == brute_force(sentences, least) and len(found) > 5
