@@ -20,6 +20,7 @@ from fareloom.functions.months import (
     same_month,
     within_months,
 )
+from fareloom.operators.layout import ROWS_PER_SLICE, dealt, plan_days
 
 SHORTEST_MINUTES, LONGEST_MINUTES = 1, 300
 LONGEST_MILES = 200
@@ -222,6 +223,25 @@ def clean_trips(bronze: DataFrame, months: Months = None) -> DataFrame:
     return filter_valid_trips(newest.select(*clean_columns()), months, met=KEY_RULES)
 
 
+def clean_trips_by_day(
+    bronze: DataFrame, months: Months = None, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """The silver fact as ``clean_trips`` gives it, dealt by day for its files.
+
+    One shuffle by day and slice serves the deduplication and the day files alike. A
+    day of many rows is dealt over several slices, found by a count of the key columns
+    beforehand; a trip's copies share a slice, so its number changes no row.
+    """
+    rows = bronze.where(in_months(F.col("_execution_date"), months)).where(_key_rules(months))
+    time, key = schemas.TRIP_KEY[0], schemas.TRIP_KEY
+    newest = newest_first(rows, key)
+    layout = plan_days(rows, time, key, rows_per_slice)
+    spread, by = dealt(rows, layout, time, key, newest)
+    rank = F.row_number().over(Window.partitionBy(*by, *key).orderBy(*newest))
+    kept = spread.withColumn("_rank", rank).where("_rank = 1")
+    return filter_valid_trips(kept.select(*clean_columns()), months, met=KEY_RULES)
+
+
 def rejected_trips(bronze: DataFrame, months: Months = None) -> DataFrame:
     """Deduplicated trips kept out of silver, with the rules each one fails."""
     cleaned = latest_trips(bronze, months).select(*clean_columns())

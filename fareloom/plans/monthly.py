@@ -24,17 +24,19 @@ from fareloom.operators import checks, runs
 from fareloom.operators.daily import kpi_daily_revenue
 from fareloom.operators.hourly import kpi_hourly_patterns
 from fareloom.operators.merge import merge_insert_new_trips
-from fareloom.operators.trips import clean_trips
+from fareloom.operators.trips import clean_trips_by_day
 from fareloom.operators.validation import validation_report
 from fareloom.operators.zones import dim_zones, kpi_zone_performance
 from fareloom.plans.quality import run_quality_checks
 from fareloom.session import size_shuffle, stored_bytes
 from fareloom.sources import landing as files
+from fareloom.sources import ledger
 from fareloom.sources.tables import (
+    BRONZE_ORDER,
     GOLD_TABLES,
     Warehouse,
     append_bronze,
-    write_gold,
+    stage_gold,
     write_silver_trips,
 )
 
@@ -92,7 +94,9 @@ class Job:
     """Where raw files come from, where tables go, and how strict the run is.
 
     With ``enforce`` a month that fails a check goes no further; without it the
-    tables are built all the same and the checks are only recorded.
+    tables are built all the same and the checks are only recorded. ``skip_loaded``
+    leaves out files the ledger names, before they are opened. ``full_replace`` drops
+    the silver and gold rows of all months that are not part of the run.
     """
 
     warehouse: Warehouse
@@ -101,6 +105,7 @@ class Job:
     as_of: dt.datetime | None = None
     enforce: bool = True
     skip_loaded: bool = False
+    full_replace: bool = False
 
     def now(self) -> dt.datetime:
         return self.as_of or dt.datetime.now(dt.UTC).replace(tzinfo=None)
@@ -169,22 +174,44 @@ def validate_months(raw: list[DataFrame], groups, progress: Progress) -> list[Da
 
 
 def load_bronze(job: Job, raw: list[DataFrame], progress: Progress) -> None:
-    """Append the valid months' files, optionally only those not loaded before."""
+    """Append the valid months' files, optionally only those not loaded before.
+
+    Files to be skipped are found in the ledger and never enter the scan. What was
+    loaded is entered after it was appended: a run that fails between the two loads
+    the files again, and deduplication hides the copies.
+    """
+    warehouse = job.warehouse
+    delivered = ledger.delivered_files(warehouse.spark, job.landing, progress.open, job.pattern)
+    if job.skip_loaded:
+        delivered = ledger.new_files(warehouse, delivered)
+    found = [row.asDict() for row in delivered.collect()]
     when = at(job.now())
     month, source = F.col("_execution_date"), F.col("_source_file")
-    rows = reduce(
-        DataFrame.unionByName,
-        [
-            files.conform_bronze_schema(files.add_audit_columns(frame, month, source, when))
-            for frame in raw
-        ],
-    ).where(in_months(month, progress.open))
     if job.skip_loaded:
-        before = job.warehouse.bronze_trips(progress.open)
-        rows = files.skip_loaded_files(rows, before).select(*schemas.BRONZE_TRIPS.names)
-    loaded = append_bronze(job.warehouse, rows)
-    for month in progress.open:
-        progress.note(month, rows_ingested=loaded.get(month, 0))
+        # A condition on the path of the file: Spark drops files by it when it plans.
+        raw = [frame.where(source.isin([row["_source_file"] for row in found])) for frame in raw]
+    loaded: dict[str, int] = {}
+    if found and raw:
+        rows = reduce(
+            DataFrame.unionByName,
+            [
+                files.conform_bronze_schema(files.add_audit_columns(frame, month, source, when))
+                for frame in raw
+            ],
+        ).where(in_months(month, progress.open))
+        loaded = append_bronze(warehouse, rows, progress.open)
+        enter_landed(job, found)
+    for month_name in progress.open:
+        progress.note(month_name, rows_ingested=loaded.get(month_name, 0))
+
+
+def enter_landed(job: Job, found: list[dict]) -> None:
+    """Enter files that were appended, with the rows their footers tell."""
+    warehouse = job.warehouse
+    spark = warehouse.spark
+    known = spark.createDataFrame(found, "path string, _source_file string, _execution_date string, bytes long")
+    rows = ledger.rows_of_files(spark, job.landing, [row["path"] for row in found])
+    ledger.record_landed(warehouse, known.join(rows, "_source_file", "left"), job.now())
 
 
 def merge_into_bronze(
@@ -192,16 +219,34 @@ def merge_into_bronze(
 ) -> int:
     """Append the staged trips bronze lacks; returns how many.
 
-    Safe for one writer at a time: Parquet tables have no transactions. The rows
-    are counted by the footers before and after, not by joining a second time.
+    Of bronze only files are opened that hold a day of the staged trips; which these
+    are is known from an index that is brought up to date first. Safe for one writer
+    at a time: Parquet tables have no transactions. The rows are counted by the
+    footers before and after, not by joining a second time.
     """
     before = warehouse.bronze_trips(months).count()
-    new = merge_insert_new_trips(staging, warehouse.bronze_trips(), months, null_safe)
+    new = merge_insert_new_trips(staging, overlapping_bronze(warehouse, staging, months), months, null_safe)
     path = warehouse.path("bronze", "trips")
-    new.write.mode("append").partitionBy("_execution_date").parquet(path)
+    ordered = new.sortWithinPartitions("_execution_date", *BRONZE_ORDER)
+    ordered.write.mode("append").partitionBy("_execution_date").parquet(path)
     return warehouse.bronze_trips(months).count() - before
 
 
+def overlapping_bronze(warehouse: Warehouse, staging: DataFrame, months: Months = None) -> DataFrame:
+    """The files of bronze that may hold a key of the staged trips.
+
+    A trip with the same key was picked up on the same day, so files without a day of
+    the staged trips, of whatever month, cannot match.
+    """
+    ledger.index_bronze(warehouse)
+    staged = staging.where(in_months(F.col("_execution_date"), months))
+    paths = ledger.files_of_days(warehouse, staged)
+    if not paths:
+        return warehouse.spark.createDataFrame([], schemas.BRONZE_TRIPS)
+    reader = warehouse.spark.read.option("basePath", warehouse.path("bronze", "trips"))
+    return reader.schema(schemas.BRONZE_TRIPS).parquet(*paths).select(*schemas.BRONZE_TRIPS.names)
+
+
 def build_dim_zones(
     warehouse: Warehouse, lookup: DataFrame, as_of: dt.datetime | None = None
 ) -> None:
@@ -219,8 +264,8 @@ def build_silver(
     if wanted is not None:
         path += "/_execution_date={" + ",".join(wanted) + "}"
     size_shuffle(warehouse.spark, stored_bytes(warehouse.spark, path))
-    trips = clean_trips(warehouse.bronze_trips(months), months)
-    write_silver_trips(warehouse, trips, months, full_replace)
+    trips = clean_trips_by_day(warehouse.bronze_trips(months), months)
+    write_silver_trips(warehouse, trips, months, full_replace, dealt=True)
 
 
 def kpi_tables(
@@ -242,18 +287,18 @@ def build_gold(
     """Rewrite the months of the three KPI tables from silver.
 
     The tables do not depend on each other; their jobs are submitted together, so
-    that one fills the cores another leaves idle at the end of its stages.
+    that one fills the cores another leaves idle at the end of its stages. When all
+    three are written they are published in one step.
     """
     trips = warehouse.silver_trips(months)
     zones = warehouse.read("silver", "dim_zones")
     tables = kpi_tables(trips, zones, months, as_of)
     with ThreadPoolExecutor(len(tables)) as pool:
         done = [
-            pool.submit(write_gold, warehouse, table, rows, full_replace, months)
+            pool.submit(stage_gold, warehouse, table, rows, full_replace, months)
             for table, rows in tables.items()
         ]
-    for write in done:
-        write.result()
+    warehouse.publish(*[staged.result() for staged in done])
 
 
 def gold_rows(warehouse: Warehouse, months: list[str]) -> dict[str, int]:
@@ -306,8 +351,8 @@ def _build_layers(job: Job, raw: list[DataFrame], progress: Progress, run_id: st
     apply_gate(job, results, progress, ("bronze",))
     if not progress.open:
         return
-    build_silver(job.warehouse, progress.open)
-    build_gold(job.warehouse, progress.open, job.as_of)
+    build_silver(job.warehouse, progress.open, job.full_replace)
+    build_gold(job.warehouse, progress.open, job.as_of, job.full_replace)
     results = run_quality_checks(job.warehouse, progress.open, ("silver", "gold"), job.as_of)
     runs.log_quality_results(job.warehouse, run_id, results, job.now())
     for month, rows in gold_rows(job.warehouse, progress.open).items():

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom import schemas
 from fareloom.functions.months import Months, month_list
+from fareloom.sources import versions
 
 ENVIRONMENTS = ("dev", "staging", "prod")
 
@@ -22,6 +23,8 @@ GOLD_TABLES = {
     "kpi_zone_performance": ("month", ("borough", "rank_in_borough_by_revenue", "location_id")),
     "kpi_hourly_patterns": ("month", ("pickup_dow", "pickup_hour")),
 }
+# Order within files of bronze: row groups can be skipped by either column.
+BRONZE_ORDER = ("VendorID", "payment_type")
 METADATA_TABLES = {
     "pipeline_runs": schemas.PIPELINE_RUNS,
     "quality_checks": schemas.QUALITY_CHECKS,
@@ -57,6 +60,8 @@ class Warehouse:
 
         With a schema given, what is not written yet is empty.
         """
+        if partition := versioned(layer, table):
+            return self._read_current(layer, table, partition, schema)
         path = self.path(layer, table)
         reader = self.spark.read.option("basePath", path)
         try:
@@ -68,15 +73,48 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    @property
+    def publications(self) -> str:
+        return self.path("metadata", "publications")
+
+    def _read_current(
+        self, layer: str, table: str, partition: str, schema: T.StructType | None, months: Months = None
+    ) -> DataFrame:
+        """The published versions of a rewritten table, without opening the others."""
+        path = self.path(layer, table)
+        current = versions.current(self.spark, self.publications, layer, table)
+        reader = self.spark.read.option("basePath", path)
+        paths = versions.paths(path, partition, current or {}, months)
+        if schema is not None:
+            if not paths:
+                return self.spark.createDataFrame([], schema)
+            return reader.schema(schema).parquet(*paths).select(*schema.names)
+        if paths:
+            return reader.parquet(*paths).drop("version")
+        return reader.parquet(path).drop("version").where(F.lit(False))
+
+    def publish(self, *staged: versions.Staged) -> None:
+        """Make written versions current, all in one step."""
+        versions.publish(self.spark, self.publications, staged)
+
+    def vacuum(self, layer: str, table: str) -> list[str]:
+        """Delete versions that were replaced by later ones; returns their names."""
+        return versions.vacuum(self.spark, self.publications, self.path(layer, table), layer, table)
+
     def bronze_trips(self, months: Months = None) -> DataFrame:
         months = _choice(months)
         partitions = f"_execution_date={months}" if months else ""
         return self.read("bronze", "trips", schemas.BRONZE_TRIPS, partitions)
 
     def silver_trips(self, months: Months = None) -> DataFrame:
-        months = _choice(months)
-        partitions = f"pickup_date={months}-*" if months else ""
-        return self.read("silver", "trips", schemas.SILVER_TRIPS, partitions)
+        return self._read_current("silver", "trips", SILVER_TRIPS[0], schemas.SILVER_TRIPS, months)
+
+
+def versioned(layer: str, table: str) -> str | None:
+    """Partition column of a table that is rewritten in versions."""
+    if (layer, table) == ("silver", "trips"):
+        return SILVER_TRIPS[0]
+    return GOLD_TABLES[table][0] if layer == "gold" and table in GOLD_TABLES else None
 
 
 def _choice(months: Months) -> str:
@@ -85,16 +123,31 @@ def _choice(months: Months) -> str:
     return "" if wanted is None else "{" + ",".join(wanted) + "}"
 
 
-def append_bronze(warehouse: Warehouse, rows: DataFrame) -> dict[str, int]:
+def append_bronze(warehouse: Warehouse, rows: DataFrame, months: Months = None) -> dict[str, int]:
     """Append conformed rows by month of the file; returns the rows of each month.
 
     The rows of a file belong to one month, so each task writes what it scanned
-    and nothing is shuffled. The source is counted, not the write: a count taken
-    while writing would count the rows of a retried task twice.
+    and nothing is shuffled; a task sorts its rows, so that row groups can be skipped
+    by vendor and payment type.
+
+    With the ``months`` given, the rows are counted while they are written: as the
+    write follows the scan in one stage, Spark counts the results of each task once,
+    also if it is retried. Rows of other months are not counted. Without them the
+    source is evaluated a second time to count it.
     """
-    counts = {row[0]: row[1] for row in rows.groupBy("_execution_date").count().collect()}
     path = warehouse.path("bronze", "trips")
-    rows.write.mode("append").partitionBy("_execution_date").parquet(path)
+    month = F.col("_execution_date")
+    wanted = month_list(months)
+    if wanted is None:
+        counts = {row[0]: row[1] for row in rows.groupBy(month).count().collect()}
+    else:
+        seen = Observation()
+        counters = [F.count_if(month == m).alias(m) for m in wanted]
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counters)
+    sorted_rows = rows.sortWithinPartitions(month, *BRONZE_ORDER)
+    sorted_rows.write.mode("append").partitionBy("_execution_date").parquet(path)
+    if wanted is not None:
+        counts = {m: seen.get[m] for m in wanted if seen.get[m]}
     return counts
 
 
@@ -126,36 +179,58 @@ def overwrite_partitions(
     )
 
 
-def empty_day(warehouse: Warehouse, day: dt.date) -> None:
-    """Leave a silver day without rows by overwriting it with none."""
-    columns = [field for field in schemas.SILVER_TRIPS.fields if field.name != "pickup_date"]
-    (
-        warehouse.spark.createDataFrame([], T.StructType(columns))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .parquet(f"{warehouse.path('silver', 'trips')}/pickup_date={day}")
-    )
+def _in_files(partition: str, order: tuple[str, ...], dealt: bool, rows: DataFrame) -> DataFrame:
+    if dealt:
+        return rows.sortWithinPartitions(partition, *order)
+    return by_partition(rows, partition, order)
+
+
+def stage_silver_trips(
+    warehouse: Warehouse,
+    trips: DataFrame,
+    months: Months = None,
+    full_replace: bool = False,
+    dealt: bool = False,
+) -> versions.Staged:
+    """Write cleaned trips by day as a version that is still to be published.
+
+    Files are sorted by pickup zone and payment type. Trips that are ``dealt`` by day
+    and slice already are not shuffled again.
+    """
+    partition, order = SILVER_TRIPS
+    arrange = partial(_in_files, partition, order, dealt)
+    path = warehouse.path("silver", "trips")
+    return versions.stage(path, "silver", "trips", trips, partition, arrange, months, full_replace)
 
 
 def write_silver_trips(
-    warehouse: Warehouse, trips: DataFrame, months: Months = None, full_replace: bool = False
+    warehouse: Warehouse,
+    trips: DataFrame,
+    months: Months = None,
+    full_replace: bool = False,
+    dealt: bool = False,
 ) -> None:
-    """Write cleaned trips by day, sorted by pickup zone and payment type.
+    """Rewrite months of the silver trips, all in one step.
 
-    A rewrite of a month replaces all its days: days it held before and no longer
-    has are emptied. Which days the rows have is observed while they are written,
-    as a set, so retried tasks do not change it; it is at most the days asked for.
+    A month is replaced whole: days it held before and no longer has are gone with
+    the version that held them. Without ``months`` those the trips fall in are.
     """
-    partition, order = SILVER_TRIPS
-    before: set[dt.date] = set()
-    if not full_replace:
-        days = warehouse.silver_trips(months).select(partition).distinct()
-        before = {row[0] for row in days.collect()}
-    written = Observation()
-    observed = trips.observe(written, F.collect_set(partition).alias("days"))
-    overwrite_partitions(warehouse, "silver", "trips", observed, partition, order, full_replace)
-    for day in sorted(before - set(written.get["days"])):
-        empty_day(warehouse, day)
+    warehouse.publish(stage_silver_trips(warehouse, trips, months, full_replace, dealt))
+
+
+def stage_gold(
+    warehouse: Warehouse,
+    table: str,
+    rows: DataFrame,
+    full_replace: bool = False,
+    months: Months = None,
+) -> versions.Staged:
+    """Write a KPI table by month as a version that is still to be published."""
+    partition, order = GOLD_TABLES[table]
+    arrange = partial(_in_files, partition, order, False)
+    return versions.stage(
+        warehouse.path("gold", table), "gold", table, rows, partition, arrange, months, full_replace
+    )
 
 
 def write_gold(
@@ -165,36 +240,12 @@ def write_gold(
     full_replace: bool = False,
     months: Months = None,
 ) -> None:
-    """Write a KPI table by month, so that a rewritten month is replaced whole.
+    """Rewrite months of a KPI table in one step.
 
-    Of the ``months`` asked for, those the table held before and that have no rows
-    now are emptied: no old KPIs stay behind a month that lost its trips.
+    Months asked for that have no rows now hold none afterwards: no old KPIs stay
+    behind a month that lost its trips.
     """
-    partition, order = GOLD_TABLES[table]
-    asked = set(month_list(months) or []) if not full_replace else set()
-    path = warehouse.path("gold", table)
-
-    def files() -> set[tuple[str, str]]:
-        """Partition values of the months asked for, with their files."""
-        try:
-            stored = warehouse.spark.read.parquet(path)
-        except AnalysisException:  # the first write
-            return set()
-        value = F.col(partition).cast("string")
-        found = stored.where(F.substring(value, 1, 7).isin(*asked)).select(value, "_metadata.file_path")
-        return {tuple(row) for row in found.distinct().collect()}
-
-    before = files() if asked else set()
-    overwrite_partitions(warehouse, "gold", table, rows, partition, order, full_replace)
-    # Partitions that were written again have new files.
-    for value in sorted({value for value, _ in before & files()} if before else ()):
-        columns = [field for field in rows.schema.fields if field.name != partition]
-        (
-            warehouse.spark.createDataFrame([], T.StructType(columns))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .parquet(f"{path}/{partition}={value}")
-        )
+    warehouse.publish(stage_gold(warehouse, table, rows, full_replace, months))
 
 
 def append_metadata(warehouse: Warehouse, table: str, rows: list[dict]) -> None:

@@ -647,8 +647,11 @@ _BODIES = {
     "append_bronze": "SELECT * FROM bronze",
     "skip_loaded_files": """
         SELECT _source_file, _execution_date, count(*) AS rows_delivered FROM bronze
-        WHERE _execution_date >= '1999-01' GROUP BY ALL""",
+        GROUP BY ALL HAVING count(*) % 2 = 1""",
     "write_silver_partitioned": "SELECT * FROM silver",
+    "republished_silver": """
+        SELECT * FROM silver
+        WHERE CAST(substr(_execution_date, 6, 2) AS INTEGER) % 2 = 0 OR NOT is_airport_trip""",
     "write_gold_tables": f"""
         SELECT _execution_date AS month, 'kpi_daily_revenue' AS table_name,
           count(*) AS rows_written, {rounded("sum(total_revenue)", 2)} AS total_revenue
@@ -710,6 +713,7 @@ _BODIES = {
         FROM silver LEFT JOIN zones ON pickup_location_id = location_id""",
     "merge_insert_new_trips": INSERTED.format(match=same_key("=")),
     "merge_insert_new_trips_null_safe": INSERTED.format(match=same_key("IS NOT DISTINCT FROM")),
+    "merge_indexed": INSERTED.format(match=same_key("=")),
     "kpi_daily_revenue_lite": "SELECT * FROM lite_daily",
     "kpi_zone_performance_lite": "SELECT * FROM lite_zones",
     "kpi_hourly_patterns_lite": "SELECT * FROM lite_hours",

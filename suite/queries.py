@@ -13,7 +13,7 @@ from fareloom.operators import checks, lite, merge, runs, trips, validation, zon
 from fareloom.operators.daily import gold_month_stats, kpi_daily_revenue
 from fareloom.operators.hourly import demand_index, hourly_metrics, kpi_hourly_patterns
 from fareloom.plans import monthly
-from fareloom.sources import landing, tables
+from fareloom.sources import landing, ledger, tables
 from fareloom.sources.zones import scan_zone_lookup
 from suite.inputs import (
     AS_OF,
@@ -86,15 +86,33 @@ def append_bronze(spark, sf_dir):
 
 def skip_loaded_files(spark, sf_dir):
     rows = bronze(spark, sf_dir)
+    warehouse = tables.Warehouse(spark, scratch(spark, "ledger"))
     delivered = rows.groupBy("_source_file", "_execution_date").agg(
         F.count(F.lit(1)).alias("rows_delivered")
     )
-    return landing.skip_loaded_files(delivered, rows.where(F.col("_execution_date") < "1999-01"))
+    loaded = delivered.where("rows_delivered % 2 = 0").withColumn("bytes", F.lit(None).cast("long"))
+    ledger.record_landed(warehouse, loaded.withColumn("rows", F.col("rows_delivered")), AS_OF)
+    return landing.skip_loaded_files(delivered, ledger.landed_files(warehouse))
 
 
 def write_silver_partitioned(spark, sf_dir):
     warehouse = tables.Warehouse(spark, scratch(spark, "silver"))
-    tables.write_silver_trips(warehouse, silver(spark, sf_dir))
+    rows = trips.clean_trips_by_day(bronze(spark, sf_dir))
+    tables.write_silver_trips(warehouse, rows, dealt=True)
+    return warehouse.silver_trips()
+
+
+def republished_silver(spark, sf_dir):
+    """All months, then every odd month again without its airport trips, in one step."""
+    warehouse = tables.Warehouse(spark, scratch(spark, "silver"))
+    rows = bronze(spark, sf_dir)
+    tables.write_silver_trips(warehouse, trips.clean_trips_by_day(rows), dealt=True)
+    odd = F.substring("_execution_date", 6, 2).cast("int") % 2 == 1
+    fewer = trips.clean_trips_by_day(rows.where(odd)).where("not is_airport_trip")
+    asked = [row[0] for row in rows.where(odd).select("_execution_date").distinct().collect()]
+    staged = tables.stage_silver_trips(warehouse, fewer, asked, dealt=True)
+    warehouse.publish(staged)
+    warehouse.vacuum("silver", "trips")
     return warehouse.silver_trips()
 
 
@@ -250,6 +268,15 @@ def merge_null_safe(spark, sf_dir):
     )
 
 
+def merge_indexed(spark, sf_dir):
+    """The upsert against written bronze, of which only files of the staged days are read."""
+    warehouse = tables.Warehouse(spark, scratch(spark, "merge"))
+    rows = trip_rows(spark, sf_dir)
+    tables.append_bronze(warehouse, rows.where(F.col("line_status") == "F").select(*schemas.BRONZE_TRIPS.names))
+    staging = rows.select(*schemas.BRONZE_TRIPS.names)
+    return merge.merge_insert_new_trips(staging, monthly.overlapping_bronze(warehouse, staging))
+
+
 # Gold
 
 
@@ -451,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "append_bronze": append_bronze,
     "skip_loaded_files": skip_loaded_files,
     "write_silver_partitioned": write_silver_partitioned,
+    "republished_silver": republished_silver,
     "write_gold_tables": write_gold_tables,
     "scan_zone_lookup": scan_zones,
     "append_metadata_rows": append_metadata_rows,
@@ -482,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "join_trips_zones": join_trips_zones,
     "merge_insert_new_trips": merge_insert_new_trips,
     "merge_insert_new_trips_null_safe": merge_null_safe,
+    "merge_indexed": merge_indexed,
     "kpi_daily_revenue_lite": daily_lite,
     "kpi_zone_performance_lite": zones_lite,
     "kpi_hourly_patterns_lite": hourly_lite,
