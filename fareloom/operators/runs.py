@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.sources.tables import Warehouse, append_metadata
+from fareloom.sources.tables import Warehouse, append_metadata, read_metadata
 
 STARTED, COMPLETED, FAILED = "STARTED", "COMPLETED", "FAILED"
 
@@ -47,6 +47,25 @@ def log_run_end(
     append_metadata(warehouse, "pipeline_runs", [{**common, **row} for row in outcomes])
 
 
+def log_steps(
+    warehouse: Warehouse, run_id: str, layer: str, rows: dict[str, int | None], when: dt.datetime
+) -> None:
+    """Append that a run has finished a layer, for each month with its rows if known."""
+    common = {"run_id": run_id, "layer": layer, "finished_at": when}
+    append_metadata(
+        warehouse, "pipeline_steps", [{**common, "execution_date": m, "rows": n} for m, n in rows.items()]
+    )
+
+
+def finished_steps(warehouse: Warehouse, run_id: str) -> dict[str, dict[str, int | None]]:
+    """Months that a run has finished, by layer, with their rows (three rows a month)."""
+    steps = read_metadata(warehouse, "pipeline_steps").where(F.col("run_id") == run_id)
+    found: dict[str, dict[str, int | None]] = {}
+    for row in steps.select("layer", "execution_date", "rows").collect():
+        found.setdefault(row["layer"], {})[row["execution_date"]] = row["rows"]
+    return found
+
+
 def log_quality_results(
     warehouse: Warehouse, run_id: str, results: list[dict], when: dt.datetime
 ) -> None:

@@ -173,7 +173,9 @@ def validate_months(raw: list[DataFrame], groups, progress: Progress) -> list[Da
     ]
 
 
-def load_bronze(job: Job, raw: list[DataFrame], progress: Progress) -> None:
+def load_bronze(
+    job: Job, raw: list[DataFrame], progress: Progress, months: list[str] | None = None
+) -> None:
     """Append the valid months' files, optionally only those not loaded before.
 
     Files to be skipped are found in the ledger and never enter the scan. What was
@@ -181,7 +183,10 @@ def load_bronze(job: Job, raw: list[DataFrame], progress: Progress) -> None:
     the files again, and deduplication hides the copies.
     """
     warehouse = job.warehouse
-    delivered = ledger.delivered_files(warehouse.spark, job.landing, progress.open, job.pattern)
+    months = progress.open if months is None else months
+    if not months:
+        return
+    delivered = ledger.delivered_files(warehouse.spark, job.landing, months, job.pattern)
     if job.skip_loaded:
         delivered = ledger.new_files(warehouse, delivered)
     found = [row.asDict() for row in delivered.collect()]
@@ -198,10 +203,10 @@ def load_bronze(job: Job, raw: list[DataFrame], progress: Progress) -> None:
                 files.conform_bronze_schema(files.add_audit_columns(frame, month, source, when))
                 for frame in raw
             ],
-        ).where(in_months(month, progress.open))
-        loaded = append_bronze(warehouse, rows, progress.open)
+        ).where(in_months(month, months))
+        loaded = append_bronze(warehouse, rows, months)
         enter_landed(job, found)
-    for month_name in progress.open:
+    for month_name in months:
         progress.note(month_name, rows_ingested=loaded.get(month_name, 0))
 
 
@@ -344,15 +349,37 @@ def apply_trips_gate(job: Job, progress: Progress) -> None:
 
 
 def _build_layers(job: Job, raw: list[DataFrame], progress: Progress, run_id: str) -> None:
-    """Bronze, silver, gold, with the checks between; stops when no month is left."""
-    load_bronze(job, raw, progress)
+    """Bronze, silver, gold, with the checks between; stops when no month is left.
+
+    A layer that the run has finished for a month before, as the steps tell, is not
+    built again: a run that failed goes on where it stopped when it gets its id again.
+    A layer is entered when it is whole, so one that was cut off is built anew.
+    """
+    warehouse, done = job.warehouse, runs.finished_steps(job.warehouse, run_id)
+
+    def left(layer: str) -> list[str]:
+        return [month for month in progress.open if month not in done.get(layer, {})]
+
+    def enter(layer: str, rows: dict[str, int | None]) -> None:
+        if rows:
+            runs.log_steps(warehouse, run_id, layer, rows, job.now())
+
+    todo = left("bronze")
+    load_bronze(job, raw, progress, todo)
+    enter("bronze", {month: progress.known[month].get("rows_ingested") for month in todo})
+    for month in set(progress.open) - set(todo):
+        progress.note(month, rows_ingested=done["bronze"][month])
     results = run_quality_checks(job.warehouse, progress.open, ("bronze",), job.as_of)
     runs.log_quality_results(job.warehouse, run_id, results, job.now())
     apply_gate(job, results, progress, ("bronze",))
     if not progress.open:
         return
-    build_silver(job.warehouse, progress.open, job.full_replace)
-    build_gold(job.warehouse, progress.open, job.as_of, job.full_replace)
+    if todo := left("silver"):
+        build_silver(warehouse, todo, job.full_replace)
+        enter("silver", dict.fromkeys(todo))
+    if todo := left("gold"):
+        build_gold(warehouse, todo, job.as_of, job.full_replace)
+        enter("gold", dict.fromkeys(todo))
     results = run_quality_checks(job.warehouse, progress.open, ("silver", "gold"), job.as_of)
     runs.log_quality_results(job.warehouse, run_id, results, job.now())
     for month, rows in gold_rows(job.warehouse, progress.open).items():

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.functions.months import in_months
-from fareloom.operators import checks
+from fareloom.functions.months import Months, in_months, month_list
+from fareloom.operators import checks, runs
 from fareloom.sources.tables import Warehouse
 
 
@@ -85,3 +85,35 @@ def run_quality_checks(
             warehouse.name,
         )
     return results
+
+
+def run_quality(
+    warehouse: Warehouse,
+    run_id: str,
+    months: Months,
+    layers: tuple[str, ...] = checks.LAYERS,
+    as_of: dt.datetime | None = None,
+    enforce: bool = True,
+) -> dict[str, dict]:
+    """Check written tables, log the results, sum them up, and stop if one failed.
+
+    Returns for each month how many checks passed, warned and failed, and the verdict.
+    The results are logged before the gate, so that a closed gate leaves its reasons.
+    """
+    wanted = month_list(months) or []
+    results = run_quality_checks(warehouse, wanted, layers, as_of)
+    runs.log_quality_results(warehouse, run_id, results, as_of or dt.datetime.now(dt.UTC).replace(tzinfo=None))
+    summary = {}
+    for month in wanted:
+        found = [row["status"] for row in results if row["execution_date"] == month]
+        failed = found.count(checks.FAILED)
+        summary[month] = {
+            "passed": found.count(checks.PASSED),
+            "warnings": found.count(checks.WARNING),
+            "failed": failed,
+            "verdict": "FAIL" if failed else "PASS",
+        }
+    failed = [f"{row['check_name']} ({row['execution_date']})" for row in results if row["status"] == checks.FAILED]
+    if failed and enforce:
+        raise checks.QualityGateError(f"{len(failed)} check(s) failed: {', '.join(failed)}")
+    return summary

@@ -109,6 +109,18 @@ PIPELINE_RUNS = _schema(
     required=("run_id", "execution_date", "env", "status", "run_date"),
 )
 
+# Layers a run has finished for a month, so that it can go on after them.
+PIPELINE_STEPS = _schema(
+    """
+    run_id string
+    execution_date string
+    layer string
+    rows long
+    finished_at timestamp
+    """,
+    required=("run_id", "execution_date", "layer", "finished_at"),
+)
+
 QUALITY_CHECKS = _schema(
     """
     run_id string

@@ -23,10 +23,18 @@ GOLD_TABLES = {
     "kpi_zone_performance": ("month", ("borough", "rank_in_borough_by_revenue", "location_id")),
     "kpi_hourly_patterns": ("month", ("pickup_dow", "pickup_hour")),
 }
+# Tables of the short job. It takes months by the month of the file throughout.
+LITE_TABLES = {
+    "trips_lite": ("_execution_date", ("pickup_date", "pickup_location_id")),
+    "kpi_daily_revenue_lite": ("_execution_date", ("pickup_date",)),
+    "kpi_zone_performance_lite": ("_execution_date", ("month", "zone_id")),
+    "kpi_hourly_patterns_lite": ("_execution_date", ("month", "pickup_dow", "pickup_hour")),
+}
 # Order within files of bronze: row groups can be skipped by either column.
 BRONZE_ORDER = ("VendorID", "payment_type")
 METADATA_TABLES = {
     "pipeline_runs": schemas.PIPELINE_RUNS,
+    "pipeline_steps": schemas.PIPELINE_STEPS,
     "quality_checks": schemas.QUALITY_CHECKS,
 }
 
@@ -114,7 +122,9 @@ def versioned(layer: str, table: str) -> str | None:
     """Partition column of a table that is rewritten in versions."""
     if (layer, table) == ("silver", "trips"):
         return SILVER_TRIPS[0]
-    return GOLD_TABLES[table][0] if layer == "gold" and table in GOLD_TABLES else None
+    if layer == "gold" and table in GOLD_TABLES:
+        return GOLD_TABLES[table][0]
+    return LITE_TABLES[table][0] if table in LITE_TABLES else None
 
 
 def _choice(months: Months) -> str:
@@ -233,6 +243,17 @@ def stage_gold(
     )
 
 
+def stage_lite(
+    warehouse: Warehouse, layer: str, table: str, rows: DataFrame, months: Months, full_replace: bool = False
+) -> versions.Staged:
+    """Write a table of the short job as a version that is still to be published."""
+    partition, order = LITE_TABLES[table]
+    arrange = partial(_in_files, partition, order, False)
+    return versions.stage(
+        warehouse.path(layer, table), layer, table, rows, partition, arrange, months, full_replace
+    )
+
+
 def write_gold(
     warehouse: Warehouse,
     table: str,

@@ -364,6 +364,7 @@ STEPS["lite"] = f"""
 SELECT {select(LITE)} FROM bronze
 WHERE tpep_dropoff_datetime > tpep_pickup_datetime AND trip_distance >= 0 AND total_amount >= 0
 """
+STEPS["lite_merged"] = STEPS["lite"].replace("FROM bronze", "FROM merged")
 STEPS["lite_daily"] = f"""
 SELECT pickup_date, _execution_date, count(*) AS total_trips,
   {total("passenger_count")} AS total_passengers, {rounded(REVENUE, 2)} AS total_revenue,
@@ -554,6 +555,7 @@ STEPS["event_silver"] = (
 STEPS["drop_bronze"] = f"""
 SELECT {", ".join(RAW)}, {AS_OF} AS _ingested_at, _source_file, _execution_date FROM bronze
 """
+STEPS["merged"] = newest("drop_bronze", KEY)
 STEPS["drop_latest"] = newest("drop_bronze", ["_execution_date", *KEY])
 STEPS["drop_silver"] = (
     f"SELECT * FROM (SELECT {select(SILVER)} FROM drop_latest) WHERE {ALL_RULES}"
@@ -794,6 +796,15 @@ _BODIES = {
         GROUP BY 1, 2""",
     "run_month": run_summary("event_bronze", "event_silver"),
     "run_months": run_summary("drop_bronze", "drop_silver"),
+    "run_months_lite": f"""
+        SELECT m AS execution_date,
+          CASE WHEN coalesce(trips, 0) < 1000 THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+          trips AS total_trips, revenue AS total_revenue, n AS rows_ingested, n AS rows_bronze
+        FROM (SELECT DISTINCT _execution_date AS m FROM drop_bronze) AS delivered
+        LEFT JOIN (SELECT _execution_date AS m, count(*) AS n FROM merged GROUP BY 1) AS held USING (m)
+        LEFT JOIN (
+          SELECT strftime(pickup_date, '%Y-%m') AS m, count(*) AS trips, {rounded(REVENUE, 2)} AS revenue
+          FROM lite_merged GROUP BY 1) AS kept USING (m)""",
 }
 
 ORACLE: dict[str, str] = {name: with_steps(body) for name, body in _BODIES.items()}

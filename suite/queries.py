@@ -12,7 +12,7 @@ from fareloom.functions.months import at, day_name, day_type, time_of_day_segmen
 from fareloom.operators import checks, lite, merge, runs, trips, validation, zones
 from fareloom.operators.daily import gold_month_stats, kpi_daily_revenue
 from fareloom.operators.hourly import demand_index, hourly_metrics, kpi_hourly_patterns
-from fareloom.plans import monthly
+from fareloom.plans import monthly, short
 from fareloom.sources import landing, ledger, tables
 from fareloom.sources.zones import scan_zone_lookup
 from suite.inputs import (
@@ -467,6 +467,19 @@ def _run(spark, sf_dir, root, months, pattern, enforce) -> DataFrame:
     return monthly.summary_frame(job, monthly.run_months(job, months, "run-1"))
 
 
+def run_months_lite(spark, sf_dir):
+    """The short job on all months of ``lineitem``: the trips of its daily table."""
+    root = scratch(spark, "short")
+    raw = raw_trips(spark, sf_dir).withColumnRenamed("_execution_date", "delivery")
+    raw.write.partitionBy("delivery").parquet(f"{root}/landing")
+    warehouse = tables.Warehouse(spark, f"{root}/tables")
+    monthly.build_dim_zones(warehouse, zone_lookup(spark, sf_dir), AS_OF)
+    job = monthly.Job(warehouse, f"{root}/landing", "delivery={month}", AS_OF)
+    summary = short.run_months_lite(job, sorted(_month_counts(spark, sf_dir)), "run-1")
+    frame = monthly.summary_frame(job, summary)
+    return frame.select("execution_date", "status", "total_trips", "total_revenue", "rows_ingested", "rows_bronze")
+
+
 QUERIES: dict[str, Query] = {
     "kpi_daily_revenue": daily,
     "kpi_zone_performance": zone_performance,
@@ -544,4 +557,5 @@ QUERIES: dict[str, Query] = {
     "latest_run_status": latest_run_status,
     "run_month": run_month,
     "run_months": run_months,
+    "run_months_lite": run_months_lite,
 }
