@@ -10,13 +10,13 @@ at once. As before, a table has one writer at a time.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fareloom.functions.months import Months, month_list
 
@@ -42,11 +42,6 @@ class Staged:
     whole: bool = False
 
 
-def month_of(partition: str) -> Column:
-    """Month of a partition value, which is a month or a day."""
-    return F.substring(F.col(partition).cast("string"), 1, 7)
-
-
 def stage(
     root: str,
     layer: str,
@@ -60,14 +55,14 @@ def stage(
     """Write the rows as a version of the table under ``root``, arranged into files.
 
     Without ``months`` it replaces those that it holds. Which these are is told by the
-    partitions that were written; no column of them is read.
+    names of the partitions that were written; their files are listed and not opened.
     """
     version = f"v{dt.datetime.now(dt.UTC):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
     path = f"{root}/version={version}"
     arrange(rows).write.mode("errorifexists").partitionBy(partition).parquet(path)
-    written = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    months_held = written.select(month_of(partition).alias("month")).distinct()
-    held = tuple(sorted(row["month"] for row in months_held.collect() if row["month"]))
+    files = rows.sparkSession.read.schema(rows.schema).parquet(path).inputFiles()
+    named = re.compile(rf"/{re.escape(partition)}=(\d{{4}}-\d{{2}})")
+    held = tuple(sorted({found[1] for file in files if (found := named.search(file))}))
     return Staged(layer, table, version, tuple(month_list(months) or held), held, whole)
 
 
