@@ -35,6 +35,8 @@ MOST_CHAR_DISTANCE = 0.27
 RATHER_FAR = (0.14, 0.30)
 #: A reference is the mean of the histograms of this many texts at least.
 LEAST_TEXTS = 20
+#: References of up to this many languages, some 600 bytes each, are broadcast.
+BROADCAST_LANGUAGES = 10_000
 
 
 def _repeat_words(listed: str) -> list[tuple[str, Column]]:
@@ -126,29 +128,23 @@ def _shares(counts: str) -> Column:
     return F.transform(counts, lambda n: n / F.nullif(total, F.lit(0)))
 
 
-def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def language_references(marked: DataFrame) -> DataFrame:
     """One row: the languages with enough texts and their mean shares of both histograms.
 
-    ``langs``, ``chars`` and ``words`` are arrays in one order, empty without
-    references. Each text weighs the same, so one very long text does not bend a
-    reference.
+    ``marked`` has ``_lang``, ``n_words`` and the shares ``_chars`` and ``_shares`` of
+    every text. ``langs``, ``chars`` and ``words`` are arrays in one order, empty
+    without references. Each text weighs the same, so one very long text does not
+    bend a reference.
     """
     n_chars, n_words = len(CHAR_CLASSES) + 1, len(WORD_BINS) + 1
-    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("_text")
-    )
-    shares = (
-        histograms(labelled)
-        .where(F.col("n_words") >= LEAST_WORDS)
-        .select("lang", _shares("_char_counts").alias("c"), _shares("_word_counts").alias("w"))
-    )
     mean = lambda name, i: F.round(F.avg(F.get(name, F.lit(i))), 9)
     means = (
-        shares.groupBy("lang")
+        marked.where(F.col("_lang").isNotNull() & (F.col("n_words") >= LEAST_WORDS))
+        .groupBy(F.col("_lang").alias("lang"))
         .agg(
             F.count(F.lit(1)).alias("texts"),
-            F.array(*[mean("c", i) for i in range(n_chars)]).alias("chars"),
-            F.array(*[mean("w", i) for i in range(n_words)]).alias("words"),
+            F.array(*[mean("_chars", i) for i in range(n_chars)]).alias("chars"),
+            F.array(*[mean("_shares", i) for i in range(n_words)]).alias("words"),
         )
         .where(F.col("texts") >= LEAST_TEXTS)
     )
@@ -177,37 +173,30 @@ NEW = (
 )
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows with counts, distances and verdict (``NEW``).
+def _judged(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFrame:
+    """``_row``, a struct of the columns to keep, beside the columns of ``NEW``.
 
-    A row fails the base rules with under 50 words, or if over half its words lie
-    in repeated 3-word windows. It also fails if its character classes lie too
-    far from every language reference, or both these and its common words lie
-    rather far; texts below ``LEAST_WORDS`` are not compared, nor are any without
-    references. Texts of a language that has too few texts for a reference get
-    distances too, but do not fail by them: other languages say nothing of it. Texts
-    without a language are compared to all. NULL and empty texts fail, an empty table
-    gives no rows and repeated rows are judged alike. Other columns are kept, but for those named as new.
+    Every text is counted once: its counts and shares are written, references are
+    means of what is written, and rows meet them when they are read back.
     """
-    references = written(language_references(docs, text, lang), "references").select(
-        F.col("langs").alias("_langs"), F.col("chars").alias("_ref_chars"), F.col("words").alias("_ref_words")
-    )
-    own = [c for c in docs.columns if c not in NEW]
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
         F.col(lang).alias("_lang"),
     )
-    compared = (
-        counts(histograms(rows))
-        .crossJoin(F.broadcast(references))
-        .withColumns({"_chars": _shares("_char_counts"), "_shares": _shares("_word_counts")})
-        .withColumns(
-            {
-                "char_distance": nearest("_chars", "_ref_chars"),
-                "word_distance": nearest("_shares", "_ref_words"),
-            }
-        )
+    counted = counts(histograms(rows)).select(
+        "_row", "_lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        _shares("_char_counts").alias("_chars"), _shares("_word_counts").alias("_shares"),
+    )
+    marked = written(counted, "histograms")
+    references = written(language_references(marked), "references").select(
+        F.col("langs").alias("_langs"), F.col("chars").alias("_ref_chars"), F.col("words").alias("_ref_words")
+    )
+    small = references.select(F.size("_langs")).first()[0] <= BROADCAST_LANGUAGES
+    compared = marked.crossJoin(
+        F.broadcast(references) if small else references.hint("shuffle_replicate_nl")
+    ).withColumns(
+        {"char_distance": nearest("_chars", "_ref_chars"), "word_distance": nearest("_shares", "_ref_words")}
     )
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     beyond = lambda name, most: F.coalesce(F.col(name) > most, F.lit(False))
@@ -216,18 +205,34 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
         beyond("char_distance", MOST_CHAR_DISTANCE)
         | (beyond("char_distance", RATHER_FAR[0]) & beyond("word_distance", RATHER_FAR[1]))
     )
-    judged = compared.withColumn("base_failed", base_failed).withColumn(
-        "kept", ~F.col("base_failed") & ~diverges
-    )
-    return judged.select("_row.*", *NEW)
+    judged = compared.withColumn("base_failed", base_failed)
+    return judged.withColumn("kept", ~F.col("base_failed") & ~diverges).select("_row", *NEW)
+
+
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
+    """The rows with counts, distances and verdict (``NEW``).
+
+    A row fails the base rules with under 50 words, or if over half its words lie
+    in repeated 3-word windows. It also fails if its character classes lie too
+    far from every language reference, or both these and its common words lie
+    rather far; texts below ``LEAST_WORDS`` are not compared, nor are any without
+    references. Texts of a language that has too few texts for a reference get
+    distances too, but do not fail by them: other languages say nothing of it. Texts
+    without a language are compared to all. NULL and empty texts fail, an empty table
+    gives no rows and repeated rows are judged alike. ``keep`` names the other columns
+    to return, all of them if it is None; those named as new are replaced.
+    """
+    own = [c for c in (docs.columns if keep is None else keep) if c not in NEW]
+    return _judged(docs, text, lang, own).select("_row.*", *NEW)
 
 
 def passing(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows that the rules keep, with their own columns (but for those named as new).
 
-    The verdict is computed below a row number, through which Spark pushes no
-    filter: pushed down, the filter would repeat every expression it rests on.
+    NULL and empty texts go, repeated rows stay or go together, and an empty table
+    gives no rows. The verdict is computed below a row number, through which Spark
+    pushes no filter: pushed down, the filter would repeat the distances it rests on.
     """
-    judged = judge(docs, text, lang).withColumn("_row", F.monotonically_increasing_id())
     own = [c for c in docs.columns if c not in NEW]
-    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select(*own)
+    judged = _judged(docs, text, lang, own).withColumn("_number", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
