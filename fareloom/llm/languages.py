@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareloom.llm.common import written
+
 #: Longest and shortest character n-grams of the backoff.
 LONGEST, SHORTEST = 4, 1
 #: Words, and n-grams of each length, kept per language: the most frequent.
@@ -29,8 +31,10 @@ REMEMBERED = 500_000
 #: Predicted for texts without letters.
 UNDETERMINED = "und"
 
-#: Maximal runs of letters (no digits, no underscore).
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Languages whose shares of the sample are broadcast.
+BROADCAST_LANGUAGES = 10_000
+#: Maximal runs of letters (no digits or other numerals, no underscore).
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -72,10 +76,14 @@ def sampled(rows: DataFrame, key: str = "doc_id", lang: str = "lang") -> DataFra
     """About ``TRAINING_TEXTS`` rows of each language, chosen by the hash of the key.
 
     A language's share is its bound over its number of rows, so a language with
-    fewer rows keeps them all. Shares travel as one small row per language.
+    fewer rows keeps them all. Shares travel as one small row per language, to
+    every task unless there are too many of them.
     """
     share = F.least(F.lit(1.0), F.lit(float(TRAINING_TEXTS)) / F.count(F.lit(1)))
     shares = rows.groupBy(F.col(lang).alias("_lang")).agg(share.alias("_share"))
+    shares = written(shares, "shares")
+    if shares.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES:
+        shares = F.broadcast(shares)
     steps = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_000)) / 1e6
     return rows.join(shares, F.col(lang) == F.col("_lang")).where(steps < F.col("_share"))
 
@@ -118,6 +126,16 @@ def _weights(sums: DataFrame) -> DataFrame:
     )
 
 
+class _Places(dict):
+    """Places of chunks; a chunk that is new gets one when it is looked up."""
+
+    def __init__(self, place: Callable[[str], int]) -> None:
+        self.place = place
+
+    def __missing__(self, chunk: str) -> int:
+        return self.place(chunk)
+
+
 class Detector:
     """Scores texts by the learned weights; remembers the scores of what it met."""
 
@@ -127,7 +145,7 @@ class Detector:
 
     def forget(self) -> None:
         """Empty the memory of chunks: their places, and per place scores and words."""
-        self.places: dict[str, int] = {}
+        self.places = _Places(self._place)
         self.scores = np.zeros((4096, len(self.langs) + 1))
 
     def word_scores(self, word: str) -> np.ndarray:
@@ -167,15 +185,9 @@ class Detector:
         for start in range(0, len(chunks), REMEMBERED):
             if len(self.places) >= REMEMBERED:
                 self.forget()
-            known, place = self.places.get, self._place
-            rows = [known(chunk) for chunk in chunks[start : start + REMEMBERED]]
-            if None in rows:
-                part = chunks[start : start + REMEMBERED]
-                rows = [
-                    (place(chunk) if (now := known(chunk)) is None else now) if row is None else row
-                    for chunk, row in zip(part, rows, strict=True)
-                ]
-            total += self.scores[rows].sum(axis=0)
+            part = chunks[start : start + REMEMBERED]
+            rows = np.fromiter(map(self.places.__getitem__, part), np.intp, len(part))
+            total += self.scores.take(rows, axis=0).sum(axis=0)
         words = total[-1]
         if not words or not self.langs:
             return UNDETERMINED, 0.0
