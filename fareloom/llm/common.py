@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+T = TypeVar("T")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,6 +40,26 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(key: tuple, load: Callable[[], T]) -> T:
+    """What a Python worker keeps between tasks: one operator's model at a time.
+
+    Workers outlive their stage; without this, one would carry the models and
+    memories of all stages that it has worked for.
+    """
+    if key not in _HELD:
+        release()
+        _HELD[key] = load()
+    return _HELD[key]  # type: ignore[return-value]
+
+
+def release() -> None:
+    """Let go of what the worker keeps for other operators."""
+    _HELD.clear()
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array, without Python; none for NULL or blank texts."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -6,14 +6,13 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import numbered, shuffle_partitions, written
+from fareloom.llm.common import held, numbered, shuffle_partitions, written
 
 #: Tokens of a sequence, and the id that ends every document.
 CAPACITY = 4096
@@ -62,9 +61,8 @@ def groups(texts: list[str]) -> Iterator[list[str]]:
     yield group
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> Encoder:
-    return Encoder(path)
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:

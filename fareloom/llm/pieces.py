@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -13,6 +12,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
+from fareloom.llm.common import held
+
 BLANK = "▁"
 #: Runs of the text that no merge crosses: blanks with the characters after them.
 _RUN = re.compile(rf"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -205,9 +206,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> PieceModel:
-    return PieceModel(path)
+    return held(("pieces", path), lambda: PieceModel(path))
 
 
 def encode_documents(

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import shuffle_partitions
+from fareloom.llm.common import release, shuffle_partitions
 
 #: Consecutive words of a window.
 WINDOW = 13
@@ -33,26 +33,32 @@ def window_hashes(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return out
 
 
+def _split(text: str | None) -> list[bytes]:
+    return (text or "").encode().split()
+
+
+def _word_hashes(text: str | None) -> np.ndarray:
+    found = _split(text)
+    return np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+
+
 class Chunk:
     """Documents of a range of ids, in order, with the windows they hold."""
 
     def __init__(self, ids: np.ndarray, texts: list[str | None], window: int) -> None:
-        self.words = [(text or "").encode().split() for text in texts]
-        sizes = np.array([len(w) for w in self.words], np.int64)
+        # Words are hashed text by text, so that never all of them are held.
+        hashed = [_word_hashes(text) for text in texts]
+        sizes = np.array([len(h) for h in hashed], np.int64)
         self.ends = np.cumsum(sizes)
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter(
-            (digest(w) for found in self.words for w in found), np.uint64, int(sizes.sum())
-        )
-        found = window_hashes(hashes, window)
-        doc = np.repeat(np.arange(len(ids)), sizes)[: len(found)]
+        found = window_hashes(np.concatenate([*hashed, np.empty(0, np.uint64)]), window)
+        del hashed
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)[: len(found)]
         inside = np.arange(len(found)) + window <= self.ends[doc] if len(found) else np.empty(0, bool)
         self.window = window
         self.places = np.flatnonzero(inside)
-        self.unique, first, self.which = np.unique(
-            found[self.places], return_index=True, return_inverse=True
-        )
-        owner = ids[doc[self.places]]
+        doc = doc[inside]
+        self.unique, first, self.which = np.unique(found[inside], return_index=True, return_inverse=True)
+        owner = ids[doc]
         # Windows are in order of ids, so the first place has the smallest one.
         self.repeated = owner > owner[first][self.which] if len(owner) else np.empty(0, bool)
 
@@ -126,6 +132,7 @@ def remove_repeats(
     dealt = kept.withColumn("_chunk", chunk_of(F.col(key).cast("long")))
 
     def emit(table: pa.Table) -> pa.Table:
+        release()
         chunk_id = table.column("_chunk")[0].as_py()
         _, ids, texts = _in_order(table, key, text)
         unique = Chunk(ids, texts, window).unique
@@ -160,6 +167,7 @@ def remove_repeats(
         )
 
     def finish(table: pa.Table, told: pa.Table) -> pa.Table:
+        release()
         table, ids, texts = _in_order(table, key, text)
         chunk = Chunk(ids, texts, window)
         told = told.sort_by("_bucket")
@@ -172,13 +180,14 @@ def remove_repeats(
             raise RuntimeError("the documents of a chunk changed between two reads")
         flags = np.split(chunk.removed(earlier), chunk.ends[:-1]) if len(ids) else []
         spans, texts_left = [], []
-        for found, flag in zip(chunk.words, flags, strict=True):
+        for content, flag in zip(texts, flags, strict=True):
+            found = _split(content)
             spans.append(intervals(flag) if flag.any() else [])
             left = [w for w, f in zip(found, flag.tolist(), strict=True) if not f] if spans[-1] else found
             texts_left.append(b" ".join(left).decode())
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         added = {
-            "n_words": pa.array([len(w) for w in chunk.words], pa.int64()),
+            "n_words": pa.array([len(f) for f in flags], pa.int64()),
             "n_removed": pa.array([int(f.sum()) for f in flags], pa.int64()),
             "removed": pa.array(spans, kind),
             "kept_text": pa.array(texts_left, pa.string()),
