@@ -20,16 +20,15 @@ _RUN = re.compile(rf"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
 #: Share of candidate merges that are skipped.
 DROPOUT = 0.1
-#: A run of characters is segmented in this many ways; which one an occurrence
-#: gets depends on the seed, the document and the place in it.
-VARIANTS = 3
-#: Runs of more characters keep their agenda as a heap.
+#: Steps of the agenda whose hashes are computed for all runs of a text at once,
+#: and for one run whose agenda takes more; no run of ``LONG_RUN`` characters or
+#: fewer takes as many as the latter.
+STEPS, MOST_STEPS = 16, 256
+#: Runs of more characters keep their agenda as a heap, and are not remembered.
 LONG_RUN = 64
 OUT = float("inf")
 #: Segmentations a worker remembers.
 REMEMBERED = 1_000_000
-MASK = (1 << 64) - 1
-MIX = 0x9E3779B97F4A7C15
 
 
 class PieceModel:
@@ -57,45 +56,42 @@ class PieceModel:
                 self.bytes_of.append(piece.replace(BLANK, " ").encode())
         if any(BLANK in piece.lstrip(BLANK) for piece in self.ids):
             raise ValueError("a piece holds a blank after other characters")
-        self.memory: dict[tuple, tuple[list[dict], list[dict]]] = {}
+        self.memory: dict[str, list] = {}
+        self.older: dict[str, list] = {}
+        self.nodes = 0
 
-    def segment(self, run: str, key: int, dropout: float) -> tuple[int, ...]:
-        """Ids of a run: merges are taken from an agenda, best rank first.
+    def segment(self, run: str, skipped: int) -> tuple[int, tuple[int, ...]]:
+        """Steps taken and ids of a run: merges come from an agenda, best rank first.
 
-        The agenda holds the rank of each pair of neighbours. The candidate taken
-        from it is skipped if the keyed hash of its place is low, and then stays
-        out; a pair made by a later merge is a new candidate. Ties go to the left.
+        The agenda holds the rank of each pair of neighbours. The candidate of a step
+        is skipped, and then stays out, if the step's bit of ``skipped`` is set; a pair
+        made by a later merge is a new candidate. Ties go to the left.
         """
         parts = list(run)
-        if len(parts) > LONG_RUN:
-            return self._segment_long(run, key, dropout)
-        ends = list(range(1, len(parts) + 1))
-        rank_of, limit = self.ranks.get, int(dropout * (MASK + 1))
+        rank_of = self.ranks.get
         agenda = [rank_of(a + b, OUT) for a, b in zip(parts, parts[1:], strict=False)]
-        key ^= xxhash.xxh64_intdigest(run.encode()) if limit else 0
-        last = len(agenda) - 1
+        last, step = len(agenda) - 1, 0
         while last >= 0 and (best := min(agenda)) != OUT:
             i = agenda.index(best)
-            # The hash of _keyed, written out: this line runs most.
-            if limit and ((key ^ (ends[i] << 32 | ends[i + 1])) * MIX & MASK) < limit:
+            step += 1
+            if skipped >> step - 1 & 1:
                 agenda[i] = OUT
                 continue
             parts[i] = whole = parts[i] + parts[i + 1]
-            del parts[i + 1], ends[i], agenda[i]
+            del parts[i + 1], agenda[i]
             if i < last:
                 agenda[i] = rank_of(whole + parts[i + 1], OUT)
             if i:
                 agenda[i - 1] = rank_of(parts[i - 1] + whole, OUT)
             last -= 1
-        return self._ids(parts)
+        return step, self._ids(parts)
 
-    def _segment_long(self, run: str, key: int, dropout: float) -> tuple[int, ...]:
+    def segment_long(self, run: str, key: int, dropout: float) -> tuple[int, ...]:
         """The same with a heap, for runs that are too long to search one by one."""
         parts, n = list(run), len(run)
         ends = list(range(1, n + 1))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        limit = int(dropout * (MASK + 1))
-        key ^= xxhash.xxh64_intdigest(run.encode()) if limit else 0
+        flags, step = b"", 0
         agenda: list[tuple] = []
 
         def offer(left: int, right: int) -> None:
@@ -111,8 +107,12 @@ class PieceModel:
                 continue
             if self.ranks.get(parts[left] + parts[right]) != rank:
                 continue
-            if limit and _keyed(key, ends[left], end) < limit:
-                continue
+            if dropout:
+                if step % 4096 == 0:
+                    flags = skips(np.array([key], np.uint64), step, 4096, dropout)[0].tobytes()
+                step += 1
+                if flags[(step - 1) % 4096]:
+                    continue
             parts[left] += parts[right]
             parts[right], ends[left], after[left] = "", end, after[right]
             if after[left] < n:
@@ -131,20 +131,16 @@ class PieceModel:
             spelled.extend([known] if known is not None else [self.byte_ids[b] for b in part.encode()])
         return tuple(spelled)
 
-    def encode(self, text: str, row_key: int, seed: int, dropout: float, variants: int) -> list[int]:
-        """Ids of a text; a blank sign (U+2581) in the text itself is spelled in bytes."""
+    def encode(self, text: str, row_key: int, dropout: float) -> list[int]:
+        """Ids of a text; a blank sign (U+2581) in the text itself is spelled in bytes.
+
+        Each run of the text has a key of its own, by ``row_key`` and its place.
+        """
         if not text:
             return []
-        memory, older = self.memory.setdefault(
-            (seed, dropout, variants), ([{} for _ in range(variants)], [{} for _ in range(variants)])
-        )
-        if sum(map(len, memory)) >= REMEMBERED // 2:
-            # What was used since the last time stays; the rest is forgotten.
-            older[:] = memory
-            memory[:] = [{} for _ in range(variants)]
         if BLANK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
             # One blank before every run: runs are kept without it.
-            return self._encode_runs(text.split(" "), BLANK, 0, memory, older, row_key, seed, dropout)
+            return self._encode_runs(text.split(" "), BLANK, 0, row_key, dropout)
         ids: list[int] = []
         spelled = [self.byte_ids[b] for b in BLANK.encode()]
         at = 0
@@ -152,40 +148,62 @@ class PieceModel:
             if k:
                 ids.extend(spelled)
             runs = _RUN.findall((BLANK if k == 0 else "") + part.replace(" ", BLANK))
-            whole = [{} for _ in memory]
-            ids.extend(self._encode_runs(runs, "", at, whole, whole, row_key, seed, dropout))
+            ids.extend(self._encode_runs(runs, "", at, row_key, dropout))
             at += len(runs)
         return ids
 
-    def _encode_runs(
-        self,
-        runs: list[str],
-        lead: str,
-        at: int,
-        memory: list[dict],
-        older: list[dict],
-        row_key: int,
-        seed: int,
-        dropout: float,
-    ) -> list[int]:
-        if dropout and len(memory) > 1:
-            places = np.arange(at, at + len(runs), dtype=np.uint64) + np.uint64(row_key)
-            chosen = (_mixed(places) % np.uint64(len(memory))).tolist()
+    def _node(self, whole: str, skipped: int, low: int) -> list:
+        """What is remembered of a run and its skips: steps that matter, ids, further skips.
+
+        Only bits of steps after the last skip, ``low``, and before the agenda is
+        empty can change the outcome.
+        """
+        steps, ids = self.segment(whole, skipped)
+        self.nodes += 1
+        return [((1 << steps) - 1) & -(low << 1 or 1), ids, {}]
+
+    def _first(self, whole: str) -> list:
+        """The run without skips, remembered or not."""
+        if (node := self.older.get(whole)) is None:
+            node = self._node(whole, 0, 0)
+        self.memory[whole] = node
+        return node
+
+    def _encode_runs(self, runs: list[str], lead: str, at: int, row_key: int, dropout: float) -> list[int]:
+        if not runs:
+            return []
+        if self.nodes >= REMEMBERED // 2:
+            # What is used from now on stays; the rest is forgotten the next time.
+            self.memory, self.older, self.nodes = {}, self.memory, 0
+        keys = _mixed(np.arange(at, at + len(runs), dtype=np.uint64) + np.uint64(row_key))
+        if dropout:
+            masks = np.packbits(skips(keys, 0, STEPS, dropout), axis=1, bitorder="little").view("<u2").ravel().tolist()
         else:
-            chosen = [0] * len(runs)
-        recall = [part.get for part in memory]
-        found = [recall[variant](run) for run, variant in zip(runs, chosen, strict=True)]
-        if not all(found):
-            keys = [xxhash.xxh64_intdigest(b"%d/%d" % (seed, v)) for v in range(len(memory))]
-            for i, known in enumerate(found):
-                if known is None:
-                    run, variant = runs[i], chosen[i]
-                    # The same run may have come earlier in this text.
-                    if (known := recall[variant](run)) is None:
-                        if (known := older[variant].get(run)) is None:
-                            known = self.segment(lead + run, keys[variant], dropout)
-                        memory[variant][run] = known
-                    found[i] = known
+            masks = [0] * len(runs)
+        found = []
+        recall = self.memory.get
+        for i, (run, mask) in enumerate(zip(runs, masks, strict=True)):
+            whole = lead + run
+            if (node := recall(whole)) is None:
+                if len(whole) > LONG_RUN:
+                    found.append(self.segment_long(whole, int(keys[i]), dropout))
+                    continue
+                node = self._first(whole)
+            wide = not dropout
+            skipped = 0
+            while True:
+                if not wide and node[0] >> STEPS:
+                    flags = skips(keys[i : i + 1], 0, MOST_STEPS, dropout)[0]
+                    mask = int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+                    wide = True
+                if not (hit := mask & node[0]):
+                    break
+                low = hit & -hit
+                skipped |= low
+                if (child := node[2].get(low)) is None:
+                    child = node[2][low] = self._node(whole, skipped, low)
+                node = child
+            found.append(node[1])
         return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> str:
@@ -193,9 +211,10 @@ class PieceModel:
         return content.decode("utf-8", "replace").removeprefix(" ")
 
 
-def _keyed(key: int, middle: int, end: int) -> int:
-    """Keyed 64-bit hash of the place of a candidate merge."""
-    return (key ^ (middle << 32 | end)) * MIX & MASK
+def skips(keys: np.ndarray, first: int, n: int, dropout: float) -> np.ndarray:
+    """Whether each key skips the candidate of each of ``n`` steps, by keyed hash."""
+    steps = np.arange(first + 1, first + n + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return _mixed(keys[:, None] ^ steps) < np.uint64(dropout * (1 << 64) if dropout < 1 else (1 << 64) - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -215,13 +234,13 @@ def encode_documents(
     model_path: str,
     seed: int = 1,
     dropout: float = DROPOUT,
-    variants: int = VARIANTS,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """``key`` and ``ids`` (array of int): the text's pieces with merges dropped.
 
-    The same seed, key and text give the same ids wherever the row is computed;
+    Every occurrence of a word draws its own skips, by seed, document and place. The
+    same seed, key and text give the same ids wherever the row is computed;
     another seed gives another segmentation, and dropout 0 the model's own one.
     Every segmentation decodes to the very text. NULL texts give NULL ids, empty
     ones none; ties of rank go to the left; repeated rows are encoded alike and
@@ -234,7 +253,7 @@ def encode_documents(
             keys = batch.column(0).to_pylist()
             row_keys = [xxhash.xxh64_intdigest(f"{seed}/{k}".encode()) for k in keys]
             values = [
-                None if content is None else np.array(model.encode(content, row, seed, dropout, variants), np.int32)
+                None if content is None else np.array(model.encode(content, row, dropout), np.int32)
                 for content, row in zip(batch.column(1).to_pylist(), row_keys, strict=True)
             ]
             ids = pa.array(values, pa.list_(pa.int32()))
@@ -274,7 +293,7 @@ def encode_and_check(docs: DataFrame, model_path: str, seed: int = 1, key: str =
             for k, content in zip(keys, texts, strict=True):
                 content = content or ""
                 row = xxhash.xxh64_intdigest(f"{seed}/{k}".encode())
-                ids = model.encode(content, row, seed, DROPOUT, VARIANTS)
+                ids = model.encode(content, row, DROPOUT)
                 same.append(model.decode(ids) == content)
                 values.append(np.array(ids, np.int32))
             yield pa.record_batch(
