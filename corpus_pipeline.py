@@ -32,9 +32,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without near copies of documents with smaller ids."""
+    """One document of each group of linked fingerprints: the one with the least id.
+
+    Groups, shingles and differing bits are those of ``simhash.near_duplicates``. Rows
+    without an id stay, and rows with one id are one document.
+    """
     ship(spark)
-    return docs.join(simhash.verified_copies(docs), "doc_id", "left_anti").select(*docs.columns)
+    found = simhash.near_duplicates(docs)
+    copies = found.where(F.col("doc_id") > F.col("component_id")).select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
