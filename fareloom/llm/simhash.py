@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,23 +10,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import written
+from fareloom.llm.common import shuffle_partitions, written
 
 BITS = 64
 #: Words of a shingle, and most differing bits of linked fingerprints.
 SHINGLE, RADIUS = 3, 2
-#: Verification of pairs: words of a shingle and least similarity.
-VERIFY_SHINGLE, SIMILAR = 5, 0.8
-#: Orders of the shingle hashes; the least hashes of the first ones, so many at a
-#: time, are the bands, and a bit of each least hash is the signature. Signatures of
-#: texts at SIMILAR differ in 13 bits on average; beyond so many a pair is skipped.
-ORDERS, BANDS, BAND, MOST_APART = 128, 16, 3, 36
-MULTIPLIERS = np.random.default_rng(11).integers(0, 1 << 63, ORDERS, np.uint64) << np.uint64(1) | np.uint64(1)
-#: Shingle hashes that are put in order at once.
-ORDER_BLOCK = 4096
-#: Seeded fingerprints of single words per text that propose near copies, and the
-#: bits of each: short, so that a fiftieth of the words moves one by two bits or so.
-SEEDS, SEED_BITS = 6, 32
+#: Distinct fingerprints whose variants one task emits.
+EMITTED = 200_000
 #: Words that are hashed and counted at once.
 BLOCK = 200_000
 
@@ -62,16 +51,16 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", t
     return frame.mapInArrow(compute, f"`{key}` {frame.schema[key].dataType.simpleString()}, fp long")
 
 
-def ball_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
+def ball_links(distinct: DataFrame) -> DataFrame:
     """Links (``a`` < ``b``) that connect all fingerprints at most two bits apart.
 
-    Every fingerprint emits itself and its variants with one of its low ``bits``
+    Every fingerprint emits itself and its variants with one of its bits
     changed: two fingerprints at most two bits apart meet on a variant. A variant
     gathers 65 fingerprints at most, all within two bits of each other, so the links
     of each to the least one connect them; the distance of each link is verified.
     The input must not repeat fingerprints.
     """
-    masks = [0] + [(1 << b) - (1 << 64 if b == 63 else 0) for b in range(bits)]
+    masks = [0] + [(1 << b) - (1 << 64 if b == 63 else 0) for b in range(BITS)]
     listed = F.array(*[F.lit(mask).cast("long") for mask in masks])
     variants = F.transform(listed, lambda mask: F.col("fp").bitwiseXOR(mask))
     # What travels is the variant and the place of its mask, which give the fingerprint.
@@ -135,11 +124,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id"
     Works on distinct fingerprints: copies share one, so a group of copies of any
     size is one node. NULL, empty and blank texts have fingerprint zero and are
     linked like any others; repeated rows stay, each with its component; an empty
-    table gives no rows and other columns are ignored.
+    table gives no rows and other columns are ignored. A NULL key is no least one:
+    it has the component of its texts, NULL where no row with a key is reachable.
     """
     marked = written(fingerprints(docs, shingle, key, text), "fingerprints")
-    smallest = marked.groupBy("fp").agg(F.min(key).alias("least"))
-    roots = components(ball_links(smallest.select("fp")))
+    smallest = written(marked.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
+    # 65 variants follow from each row, so their tasks are sized by rows and not by bytes.
+    tasks = max(shuffle_partitions(docs.sparkSession), smallest.count() // EMITTED + 1)
+    roots = components(ball_links(smallest.select("fp").repartition(tasks, "fp")))
     classes = smallest.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -148,145 +140,3 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id"
     return marked.join(of_fp, "fp").select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
-
-
-def seeded_fingerprints(found: list[bytes]) -> np.ndarray:
-    """``SEEDS`` independent fingerprints of single words, the seed above the bits of each."""
-    counts = np.zeros(SEEDS * SEED_BITS, np.int64)
-    counted = list(Counter(found).items())
-    digest, more = xxhash.xxh3_128_digest, xxhash.xxh3_64_digest
-    for start in range(0, len(counted), BLOCK):
-        part = counted[start : start + BLOCK]
-        digests = b"".join([digest(w) + more(w, 1) for w, _ in part])
-        bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
-        # Words that occur once, mostly most of them, are summed without weights.
-        weights = np.array([n for _, n in part], np.int64)
-        counts += bits.sum(axis=0, dtype=np.int64)
-        counts += (weights[weights > 1, None] - 1).T[0] @ bits[weights > 1]
-    values = np.packbits(counts * 2 > len(found), bitorder="little").view("<u4").astype(np.int64)
-    return values | np.arange(SEEDS, dtype=np.int64) << SEED_BITS
-
-
-def seeded_roots(classes: DataFrame) -> DataFrame:
-    """``node`` and ``root`` of the seeded fingerprints (column ``fps``) of distinct texts.
-
-    Fingerprints of one seed are linked within ``RADIUS``, and all fingerprints of a
-    text are linked to its first one: texts that any seed brings together share a root.
-    """
-    fps = classes.select(F.explode("fps").alias("fp")).distinct()
-    own = classes.select(F.col("fps")[0].alias("a"), F.explode(F.slice("fps", 2, SEEDS - 1)).alias("b")).distinct()
-    return components(ball_links(fps, SEED_BITS).unionByName(own))
-
-
-def shingles(found: list[bytes]) -> np.ndarray:
-    """Distinct hashes of the 5-word shingles of a text's words."""
-    n = VERIFY_SHINGLE
-    parts = {b" ".join(found[i : i + n]) for i in range(max(1, len(found) - n + 1))}
-    return np.fromiter((xxhash.xxh64_intdigest(p) for p in parts), np.uint64, len(parts))
-
-
-def marks(found: list[bytes]) -> tuple[bytes, int, int, int, np.ndarray]:
-    """Hash of all words, size of the shingle set, signature in two longs, bands."""
-    hashes = shingles(found)
-    least = np.full(ORDERS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(hashes), ORDER_BLOCK):
-        part = hashes[start : start + ORDER_BLOCK, None]
-        np.minimum(least, (part * MULTIPLIERS).min(axis=0), out=least)
-    signature = np.packbits(least * MULTIPLIERS[0] >> np.uint64(63) != 0).view("<i8")
-    banded, width = least[: BANDS * BAND].tobytes(), 8 * BAND
-    bands = [xxhash.xxh64_intdigest(banded[i * width : (i + 1) * width], i) for i in range(BANDS)]
-    whole = xxhash.xxh3_128_digest(b" ".join(found))
-    return whole, len(hashes), *signature.tolist(), np.array(bands, np.uint64).view(np.int64)
-
-
-def alike(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``cls`` of the pairs (``cls``, ``first``; ``o_cls``, ``o_first``) with similar whole shingle sets."""
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(x or "").encode().lower().split() for x in batch.column(0).to_pylist()]
-            yield pa.record_batch(
-                [pa.array([xxhash.xxh3_128_digest(b" ".join(w)) for w in found], pa.binary()),
-                 pa.array([shingles(w).view(np.int64) for w in found], pa.list_(pa.int64()))],
-                names=["cls", "set"],
-            )
-
-    pairs = written(pairs.distinct(), "pairs")
-    named = pairs.select("first").unionByName(pairs.select(F.col("o_first").alias("first"))).distinct()
-    texts = docs.join(named.withColumnRenamed("first", key), key, "left_semi").select(text)
-    sets = texts.mapInArrow(compute, "cls binary, set array<long>").groupBy("cls").agg(F.first("set").alias("set"))
-    sets = written(sets, "sets")
-    both = pairs.join(sets, "cls").join(sets.select(F.col("cls").alias("o_cls"), F.col("set").alias("o_set")), "o_cls")
-    shared = F.size(F.array_intersect("set", "o_set"))
-    similar = shared >= SIMILAR * (F.size("set") + F.size("o_set") - shared)
-    return written(both.where(similar).select("cls").distinct(), "alike")
-
-
-def verified_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Keys of rows that are near copies of a row with a smaller key.
-
-    Equal texts (but for case of ASCII letters and blanks) are one class, and all
-    rows but its first are copies. Candidates are the components of several seeded
-    fingerprints of single words: a few changed words move some of these by two
-    bits or less, but unlike texts may meet too. Classes of a component that share
-    any of ``BANDS`` hashes of least shingle hashes are compared, first to the
-    earliest class of each group, then, those that stay, to all earlier classes of
-    the group. A pair whose signatures or sizes lie too far apart is skipped; all
-    others are decided on their whole shingle sets, at a similarity of 0.8 or more.
-    A pair at 0.8 shares no group in 1 of 10^5 cases; its signatures are too far
-    apart in 1 of 10^7. NULL keys are no copies and rows with one key are one document.
-    """
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(x or "").encode().lower().split() for x in batch.column(1).to_pylist()]
-            whole, size, s1, s2, bands = zip(*map(marks, found), strict=True) if found else [()] * 5
-            yield pa.record_batch(
-                [batch.column(0), pa.array(whole, pa.binary()), pa.array(size, pa.int32()),
-                 pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
-                 pa.array([seeded_fingerprints(w) for w in found], pa.list_(pa.int64()))],
-                names=[key, "cls", "size", "s1", "s2", "bands", "fps"],
-            )
-
-    frame = docs.select(key, text).where(F.col(key).isNotNull())
-    kind = frame.schema[key].dataType.simpleString()
-    marked = written(
-        frame.mapInArrow(
-            compute,
-            f"`{key}` {kind}, cls binary, size int, s1 long, s2 long, bands array<long>, fps array<long>",
-        ),
-        "marks",
-    )
-    own = F.first(F.struct("size", "s1", "s2", "bands", "fps"))
-    classes = written(
-        marked.groupBy("cls").agg(F.min(key).alias("first"), own.alias("own")).select("cls", "first", "own.*"), "classes"
-    )
-    roots = seeded_roots(classes).withColumnRenamed("node", "fp")
-    entries = (
-        classes.withColumn("fp", F.col("fps")[0])
-        .join(roots, "fp", "left")
-        .withColumn("root", F.coalesce("root", "fp"))
-        .select("cls", "first", "size", "s1", "s2", "root", F.explode("bands").alias("band"))
-        .withColumn("group", F.xxhash64("root", "band"))
-        .drop("root", "band")
-    )
-    entries = written(entries, "bands")
-    shared = entries.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("group")
-    banded = written(entries.join(shared, "group"), "groups")
-    named = ("cls", "first", "size", "s1", "s2")
-    others = banded.select("group", *[F.col(c).alias(f"o_{c}") for c in named])
-    lead = F.min_by(F.struct(*[F.col(c).alias(f"o_{c}") for c in named]), F.struct("first", "cls"))
-    leads = banded.groupBy("group").agg(lead.alias("lead")).select("group", "lead.*")
-    apart = F.bit_count(F.col("s1").bitwiseXOR(F.col("o_s1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("o_s2")))
-    hopeful = (
-        (F.col("o_first") < F.col("first"))
-        & (apart <= MOST_APART)
-        & (F.least("size", "o_size") >= SIMILAR * F.greatest("size", "o_size"))
-    )
-    pair = ("cls", "first", "o_cls", "o_first")
-    settled = alike(banded.join(leads, "group").where(hopeful).select(*pair), frame, key, text)
-    open_ = banded.join(settled, "cls", "left_anti")
-    more = alike(open_.join(others, "group").where(hopeful).select(*pair), frame, key, text)
-    near = settled.unionByName(more)
-    later = marked.join(classes.select("cls", "first"), "cls").where(F.col(key) > F.col("first")).select(key)
-    return later.unionByName(classes.join(near, "cls").select(F.col("first").alias(key))).distinct()

@@ -122,61 +122,31 @@ def test_components_of_chains_and_stars(spark):
     assert found[8] == found[9] == 7
 
 
-def test_verified_copies_leave_one_of_each_group(docs, no_docs):
-    found = {r.doc_id for r in simhash.verified_copies(docs).collect()}
-    assert {30, 31, 32, 33} <= found and not found & {3, 4, 10, 11, 12, 13, 40, 41}
-    assert {1, 2} <= found and 0 not in found
-    assert simhash.verified_copies(no_docs).count() == 0
+def test_simhash_keys_that_are_null(spark):
+    rows = [(None, "a text of no id"), (None, "one two three four"), (7, "one two three four")]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in found), key=str) == [(7, 7), (None, 7), (None, None)]
 
 
-def _shingles(text: str | None) -> set:
-    words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def _near_copies(rows: list[tuple]) -> set:
-    """Keys of rows with an earlier row at 0.8 or more, by brute force."""
-    sets = sorted((i, _shingles(t)) for i, t in rows)
-    return {
-        i
-        for n, (i, a) in enumerate(sets)
-        if any(k < i and 5 * len(a & b) >= 4 * len(a | b) for k, b in sets[:n])
-    }
-
+def test_near_dedup_keeps_one_of_each_group(spark, docs, texts):
+    import corpus_pipeline
 
-def _changed_inside() -> list[tuple]:
-    """Texts, and each again with one to six words changed inside."""
-    rng = np.random.default_rng(8)
-    rows = []
-    for i in range(150):
-        drawn = rng.zipf(1.3, 240) % 5000 if i % 2 else rng.integers(0, 5000, 240)
-        words = [f"w{x}" for x in drawn]
-        rows.append((i, " ".join(words)))
-        changed = list(words)
-        for at in rng.choice(240, 1 + i % 6, replace=False):
-            changed[at] = f"new{rng.integers(10**6)}"
-        rows.append((1000 + i, " ".join(changed)))
-    return rows
-
-
-def test_seeds_bring_texts_with_changed_words_together():
-    rows = dict(_changed_inside())
-    near = _near_copies(list(rows.items()))
-    assert len(near) > 100
-    prints = {i: simhash.seeded_fingerprints(t.encode().split()) for i, t in rows.items()}
-    met = [i for i in near if any(int(x).bit_count() <= simhash.RADIUS for x in prints[i] ^ prints[i - 1000])]
-    assert len(met) >= 0.99 * len(near)
-
-
-def test_verified_copies_equal_brute_force(spark):
-    rows = _changed_inside()
-    # One passage in many texts, and copies whose least hashes it may own.
-    passage = " ".join(f"shared{i}" for i in range(60))
-    rows += [(2000 + i, f"{passage} {prose(i, 40 + i % 30)}") for i in range(120)]
-    rows += [(3000 + i, f"{passage} {prose(i, 40 + i % 30)} end") for i in range(0, 120, 2)]
-    rows += [(4000 + i, rows[i][1].upper()) for i in range(20)] + [(5000, "short one"), (5001, "short one")]
-    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert {r.doc_id for r in simhash.verified_copies(frame).collect()} == _near_copies(rows)
+    prints = {i: _fingerprint(t) for i, t in texts.items()}
+    roots = _roots(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == set(roots.values())
+    assert {30, 31, 33} & set(roots.values()) == set()
+
+
+def test_a_passage_in_unlike_texts_links_nothing(spark):
+    passage = " ".join(f"shared{i}" for i in range(40))
+    rows = [(i, f"{passage} " + " ".join(f"w{i}x{k}" for k in range(160))) for i in range(200)]
+    rows += [(1000 + i, rows[i][1].upper()) for i in range(0, 200, 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    prints = {i: _fingerprint(t) for i, t in rows}
+    roots = _roots(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame).collect()} == roots
 
 
 def test_removed_windows(docs, no_docs, texts):
