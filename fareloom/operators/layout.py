@@ -85,3 +85,22 @@ def dealt(
     number = F.pmod(key_hash(key), F.coalesce("_slices", F.lit(1))).cast("int")
     rows = rows.join(F.broadcast(known), DAY, "left").withColumn(SLICE, number).drop("_slices")
     return rows.repartition(DAY, SLICE), (DAY, SLICE)
+
+
+def number_as_read(rows: DataFrame, path: str, name: str = "position") -> DataFrame:
+    """Number rows from 1 in the order in which the frame returns them.
+
+    The rows are written to ``path`` with their task and place in it, so that counting
+    and numbering see the same tasks; only one count per task is summed up in order.
+    """
+    spark = rows.sparkSession
+    rows.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    stored = spark.read.parquet(path).withColumns({
+        "_task": F.shiftright("_at", 33),
+        "_place": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored.groupBy("_task").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = counts.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    numbered = stored.join(starts, "_task").withColumn(name, F.col("_start") + F.col("_place") + 1)
+    return numbered.drop("_at", "_task", "_place", "_start")

@@ -662,6 +662,16 @@ _BODIES = {
           {rounded("sum(total_revenue)", 2)} FROM zone_kpi GROUP BY 1
         UNION ALL SELECT month, 'kpi_hourly_patterns', count(*),
           {rounded("sum(total_revenue)", 2)} FROM hour_kpi GROUP BY 1""",
+    "gold_in_order": """
+        SELECT 'kpi_daily_revenue' AS table_name, _execution_date AS month,
+          CAST(pickup_date AS VARCHAR) AS row_name, row_number() OVER (ORDER BY pickup_date) AS position
+        FROM daily
+        UNION ALL SELECT 'kpi_zone_performance', substr(CAST(month AS VARCHAR), 1, 7), CAST(location_id AS VARCHAR), row_number() OVER (
+          ORDER BY month, borough NULLS FIRST, rank_in_borough_by_revenue, location_id)
+        FROM zone_kpi
+        UNION ALL SELECT 'kpi_hourly_patterns', substr(CAST(month AS VARCHAR), 1, 7), pickup_dow || '/' || pickup_hour,
+          row_number() OVER (ORDER BY month, pickup_dow, pickup_hour)
+        FROM hour_kpi""",
     "scan_zone_lookup": "SELECT * FROM lookup",
     "append_metadata_rows": f"""
         SELECT 'run-' || _execution_date AS run_id, _execution_date AS execution_date,

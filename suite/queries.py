@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fareloom import schemas
 from fareloom.functions.months import at, day_name, day_type, time_of_day_segment
-from fareloom.operators import checks, lite, merge, runs, trips, validation, zones
+from fareloom.operators import checks, layout, lite, merge, runs, trips, validation, zones
 from fareloom.operators.daily import gold_month_stats, kpi_daily_revenue
 from fareloom.operators.hourly import demand_index, hourly_metrics, kpi_hourly_patterns
 from fareloom.plans import monthly, short
@@ -134,6 +134,26 @@ def write_gold_tables(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def gold_in_order(spark, sf_dir):
+    """The rows of the written KPI tables, numbered as their reader returns them."""
+    warehouse = tables.Warehouse(spark, scratch(spark, "gold"))
+    made = monthly.kpi_tables(silver(spark, sf_dir), zone_table(spark, sf_dir), as_of=AS_OF)
+    named = {
+        "kpi_daily_revenue": F.col("pickup_date").cast("string"),
+        "kpi_zone_performance": F.col("location_id").cast("string"),
+        "kpi_hourly_patterns": F.concat_ws("/", "pickup_dow", "pickup_hour"),
+    }
+    parts = []
+    for table, rows in made.items():
+        tables.write_gold(warehouse, table, rows)
+        month = F.substring(F.col(tables.GOLD_TABLES[table][0]).cast("string"), 1, 7)
+        read = warehouse.gold_in_order(table).select(
+            F.lit(table).alias("table_name"), month.alias("month"), named[table].alias("row_name")
+        )
+        parts.append(layout.number_as_read(read, scratch(spark, "numbered")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def scan_zones(spark, sf_dir):
     path = scratch(spark, "lookup") + "/zones.csv"
     zone_lookup(spark, sf_dir).write.option("header", "true").csv(path)
@@ -493,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "write_silver_partitioned": write_silver_partitioned,
     "republished_silver": republished_silver,
     "write_gold_tables": write_gold_tables,
+    "gold_in_order": gold_in_order,
     "scan_zone_lookup": scan_zones,
     "append_metadata_rows": append_metadata_rows,
     "validate_not_empty": validate_not_empty,

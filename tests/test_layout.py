@@ -83,3 +83,47 @@ def test_copies_of_a_heavy_key_are_cut_before_the_shuffle(copies):
 
 def test_no_rows(frame, copies):
     assert trips.clean_trips_by_day(copies.limit(0)).count() == 0
+
+
+def hours(spark, n=4000):
+    """Hourly KPIs, nine tenths of them in one month, in no order."""
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 10 > 0, "2024-02").otherwise("2024-01").alias("month"),
+        (F.xxhash64("id") % 7 + 7).cast("int").alias("pickup_dow"),
+        F.col("id").cast("int").alias("pickup_hour"),
+    )
+    return rows.orderBy(F.xxhash64(F.col("pickup_hour") + 1)).repartition(5)
+
+
+def test_gold_files_follow_the_final_order(spark, tmp_path):
+    warehouse = tables.Warehouse(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables.write_gold(warehouse, "kpi_hourly_patterns", hours(spark))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = sorted(tmp_path.rglob("*.parquet"), key=lambda f: f.name)
+    files = [f for f in files if "kpi_hourly_patterns" in str(f)]
+    hot = [f for f in files if "month=2024-02" in str(f)]
+    assert len(hot) > 1
+    found = [
+        (f.parent.name, row.pickup_dow, row.pickup_hour)
+        for f in files
+        for row in spark.read.parquet(str(f)).collect()
+    ]
+    assert len(found) == 4000 and found == sorted(found)
+
+
+def test_gold_reader_returns_the_final_order(spark, tmp_path):
+    warehouse = tables.Warehouse(spark, f"{tmp_path}/w")
+    tables.write_gold(warehouse, "kpi_hourly_patterns", hours(spark))
+    read = warehouse.gold_in_order("kpi_hourly_patterns")
+    expected = sorted((str(r.month)[:7], r.pickup_dow, r.pickup_hour) for r in hours(spark).collect())
+    assert [(str(r.month)[:7], r.pickup_dow, r.pickup_hour) for r in read.collect()] == expected
+    numbered = layout.number_as_read(read, f"{tmp_path}/n").collect()
+    placed = {r.position: (str(r.month)[:7], r.pickup_dow, r.pickup_hour) for r in numbered}
+    assert len(numbered) == 4000 and [placed[i + 1] for i in range(4000)] == expected
+    some = warehouse.gold_in_order("kpi_hourly_patterns", "2024-01").collect()
+    assert len(some) == 400
+    empty = layout.number_as_read(read.where("pickup_hour < 0"), f"{tmp_path}/e")
+    assert empty.count() == 0 and empty.columns == [*read.columns, "position"]
