@@ -10,10 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareloom import schemas
+from fareloom.session import ROWS_PER_TASK
 
 #: Rows of a slice, which becomes one file of its day.
 ROWS_PER_SLICE = 2_000_000
@@ -32,10 +33,17 @@ def key_hash(key: tuple[str, ...]) -> Column:
 
 @dataclass(frozen=True)
 class DayLayout:
-    """Slices of the days that have more than one, and hashes of heavy keys."""
+    """Slices of the days that have more than one, hashes of heavy keys, and all rows."""
 
     slices: dict[dt.date, int] = field(default_factory=dict)
     heavy: tuple[int, ...] = ()
+    rows: int = field(default=0, compare=False)
+
+    def tasks(self, spark: SparkSession, rows_per_task: int) -> int | None:
+        """Tasks that the rows ask for; none if they are few, which AQE deals with."""
+        if self.rows <= rows_per_task:
+            return None
+        return max(-(-self.rows // rows_per_task), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def plan_days(
@@ -43,32 +51,39 @@ def plan_days(
 ) -> DayLayout:
     """Count the days, reading the key columns alone, and look for heavy keys.
 
-    What comes to the driver is a row for each day of more than one slice. A heavy
-    key is one whose copies would fill a slice.
+    What comes to the driver is an entry for each day of more than one slice, and the
+    number of all rows. A heavy key is one whose copies would fill a slice.
     """
     sketch = F.expr(f"approx_top_k(_hash, {HEAVY_KEYS}, {TRACKED})")
     days = (
         rows.select(F.to_date(time).alias(DAY), key_hash(key).alias("_hash"))
         .groupBy(DAY)
         .agg(F.count(F.lit(1)).alias("rows"), sketch.alias("keys"))
-        .where(F.col("rows") > rows_per_slice)
-        .select(DAY, "rows", F.filter("keys", lambda x: x["count"] >= rows_per_slice).alias("keys"))
     )
-    found = days.limit(MOST_DAYS + 1).collect()
+    heavy = F.filter("keys", lambda x: x["count"] >= rows_per_slice).alias("keys")
+    large = F.when(F.col("rows") > rows_per_slice, F.struct(DAY, "rows", heavy))
+    total, found = days.agg(F.sum("rows"), F.collect_list(large)).first()
     if len(found) > MOST_DAYS:
         raise ValueError(f"more than {MOST_DAYS} days of over {rows_per_slice} rows")
     return DayLayout(
         {row[DAY]: -(-row["rows"] // rows_per_slice) for row in found},
         tuple(sorted({entry["item"] for row in found for entry in row["keys"]})),
+        total or 0,
     )
 
 
 def dealt(
-    rows: DataFrame, layout: DayLayout, time: str, key: tuple[str, ...], newest: list[Column]
+    rows: DataFrame,
+    layout: DayLayout,
+    time: str,
+    key: tuple[str, ...],
+    newest: list[Column],
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> tuple[DataFrame, tuple[str, ...]]:
     """The rows, shuffled once by day and slice, and the columns added for these.
 
-    If no day has more than one slice the day alone is added.
+    If no day has more than one slice the day alone is added. The number of tasks
+    follows the number of rows.
 
     Copies of heavy keys are cut to one a task before (``newest`` first), as all of
     them go to one slice; there is no such step if there is no heavy key.
@@ -78,13 +93,15 @@ def dealt(
         rank = F.row_number().over(Window.partitionBy(*key).orderBy(*newest))
         few = rows.where(heavy).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
         rows = rows.where(~heavy).unionByName(few)
+    tasks = layout.tasks(rows.sparkSession, rows_per_task)
+    number_of = () if tasks is None else (tasks,)
     rows = rows.withColumn(DAY, F.to_date(time))
     if not layout.slices:
-        return rows.repartition(DAY), (DAY,)
+        return rows.repartition(*number_of, DAY), (DAY,)
     known = rows.sparkSession.createDataFrame(list(layout.slices.items()), f"{DAY} date, _slices int")
     number = F.pmod(key_hash(key), F.coalesce("_slices", F.lit(1))).cast("int")
     rows = rows.join(F.broadcast(known), DAY, "left").withColumn(SLICE, number).drop("_slices")
-    return rows.repartition(DAY, SLICE), (DAY, SLICE)
+    return rows.repartition(*number_of, DAY, SLICE), (DAY, SLICE)
 
 
 def number_as_read(rows: DataFrame, path: str, name: str = "position") -> DataFrame:

@@ -21,6 +21,9 @@ SETTINGS = {
     # below the size above.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    # Rows are wide and compress well; tasks that sort what they scan hold about a
+    # million at this size.
+    "spark.sql.files.maxPartitionBytes": "32m",
     # A rewrite replaces the partitions it produces and leaves the others.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Directories of days are listed by this many tasks, not one task each.
@@ -32,6 +35,10 @@ SETTINGS = {
 
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 50_000
+#: Rows of a task after a shuffle, about, where bytes do not tell the memory it takes.
+ROWS_PER_TASK = 500_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+LEAST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
 
 
 def session(app: str = "fareloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,6 +56,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session somebody else made."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    spark.conf.unset(LEAST_PARTITIONS)
     return spark
 
 
@@ -71,5 +79,19 @@ def size_shuffle(spark: SparkSession, input_bytes: int, expansion: float = 4.0)
     wanted = math.ceil(input_bytes * expansion / BYTES_PER_SHUFFLE_PARTITION)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     number = max(current, min(wanted, MOST_SHUFFLE_PARTITIONS))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    spark.conf.set(INITIAL_PARTITIONS, str(number))
     return number
+
+
+def size_tasks(spark: SparkSession, rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Let AQE merge shuffle partitions into no fewer tasks than the rows ask for.
+
+    AQE merges by compressed bytes, and rows that repeat much of each other compress to
+    a few bytes: a task would then sort rows in proportion to the input.
+    """
+    number = min(math.ceil(rows / rows_per_task), MOST_SHUFFLE_PARTITIONS)
+    initial = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(INITIAL_PARTITIONS, str(max(int(initial), number)))
+    least = max(number, spark.sparkContext.defaultParallelism)
+    spark.conf.set(LEAST_PARTITIONS, str(least))
+    return least

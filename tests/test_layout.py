@@ -81,6 +81,17 @@ def test_copies_of_a_heavy_key_are_cut_before_the_shuffle(copies):
     assert len(slices) > 5
 
 
+def test_tasks_follow_the_rows(copies):
+    rows = copies.where("tpep_pickup_datetime is not null and VendorID != 9")
+    newest = trips.newest_first(rows, schemas.TRIP_KEY)
+    plan = layout.plan_days(rows, schemas.TRIP_KEY[0], rows_per_slice=100)
+    assert plan.rows == rows.count()
+    spread, _ = layout.dealt(rows, plan, schemas.TRIP_KEY[0], schemas.TRIP_KEY, newest, rows_per_task=200)
+    by_task = [row["count"] for row in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(by_task) == plan.rows and len(by_task) > 16 and max(by_task) < 1000
+    assert plan.tasks(rows.sparkSession, plan.rows) is None
+
+
 def test_no_rows(frame, copies):
     assert trips.clean_trips_by_day(copies.limit(0)).count() == 0
 
