@@ -28,7 +28,7 @@ from fareloom.operators.trips import clean_trips_by_day
 from fareloom.operators.validation import validation_report
 from fareloom.operators.zones import dim_zones, kpi_zone_performance
 from fareloom.plans.quality import run_quality_checks
-from fareloom.session import size_shuffle, stored_bytes
+from fareloom.session import size_shuffle, size_tasks, stored_bytes
 from fareloom.sources import landing as files
 from fareloom.sources import ledger
 from fareloom.sources.tables import (
@@ -227,9 +227,11 @@ def merge_into_bronze(
     Of bronze only files are opened that hold a day of the staged trips; which these
     are is known from an index that is brought up to date first. Safe for one writer
     at a time: Parquet tables have no transactions. The rows are counted by the
-    footers before and after, not by joining a second time.
+    footers before and after, not by joining a second time. Tasks are sized by the
+    staged rows, a count of footers too.
     """
     before = warehouse.bronze_trips(months).count()
+    size_tasks(warehouse.spark, staging.where(in_months(F.col("_execution_date"), months)).count())
     new = merge_insert_new_trips(staging, overlapping_bronze(warehouse, staging, months), months, null_safe)
     path = warehouse.path("bronze", "trips")
     ordered = new.sortWithinPartitions("_execution_date", *BRONZE_ORDER)

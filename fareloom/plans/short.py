@@ -17,7 +17,7 @@ from fareloom import schemas
 from fareloom.functions.months import Months, at, in_months, month_list
 from fareloom.operators import checks, lite, runs
 from fareloom.plans.monthly import Job, Progress, delivered_schemas, merge_into_bronze, scan_delivered
-from fareloom.session import size_shuffle, stored_bytes
+from fareloom.session import size_shuffle, size_tasks, stored_bytes
 from fareloom.sources import landing as files
 from fareloom.sources.tables import Warehouse, stage_lite
 
@@ -38,10 +38,11 @@ def month_rows(warehouse: Warehouse, months: list[str]) -> dict[str, int]:
     return {row[0]: row[1] for row in counted}
 
 
-def build_silver_lite(job: Job, months: list[str]) -> None:
+def build_silver_lite(job: Job, months: list[str], rows: int = 0) -> None:
     warehouse = job.warehouse
     path = f"{warehouse.path('bronze', 'trips')}/_execution_date={{{','.join(months)}}}"
     size_shuffle(warehouse.spark, stored_bytes(warehouse.spark, path))
+    size_tasks(warehouse.spark, rows)
     trips = lite.clean_trips_lite(warehouse.bronze_trips(months), months)
     warehouse.publish(stage_lite(warehouse, "silver", "trips_lite", trips, months, job.full_replace))
 
@@ -96,12 +97,13 @@ def run_months_lite(
         if progress.open:
             before = month_rows(warehouse, progress.open)
             merge_into_bronze(warehouse, staging, progress.open, null_safe)
-            for month, rows in month_rows(warehouse, progress.open).items():
+            counted = month_rows(warehouse, progress.open)
+            for month, rows in counted.items():
                 progress.note(month, rows_ingested=rows - before.get(month, 0), rows_bronze=rows)
             bronze = warehouse.bronze_trips(progress.open)
             checked = checks.check_bronze_inline(bronze, progress.open, warehouse.name("bronze", "trips"))
             runs.log_quality_results(warehouse, run_id, [row.asDict() for row in checked.collect()], job.now())
-            build_silver_lite(job, progress.open)
+            build_silver_lite(job, progress.open, sum(counted.values()))
             build_gold_lite(job, progress.open)
             apply_gate(job, progress)
     except Exception as error:
