@@ -27,8 +27,8 @@ STEPS, MOST_STEPS = 16, 256
 #: Runs of more characters keep their agenda as a heap, and are not remembered.
 LONG_RUN = 64
 OUT = float("inf")
-#: Segmentations a worker remembers.
-REMEMBERED = 1_000_000
+#: Segmentations a worker remembers, at most about 400 bytes each.
+REMEMBERED = 400_000
 
 
 class PieceModel:
@@ -160,7 +160,7 @@ class PieceModel:
         """
         steps, ids = self.segment(whole, skipped)
         self.nodes += 1
-        return [((1 << steps) - 1) & -(low << 1 or 1), ids, {}]
+        return [((1 << steps) - 1) & -(low << 1 or 1), ids, None]
 
     def _first(self, whole: str) -> list:
         """The run without skips, remembered or not."""
@@ -200,8 +200,10 @@ class PieceModel:
                     break
                 low = hit & -hit
                 skipped |= low
-                if (child := node[2].get(low)) is None:
-                    child = node[2][low] = self._node(whole, skipped, low)
+                if (further := node[2]) is None:
+                    further = node[2] = {}
+                if (child := further.get(low)) is None:
+                    child = further[low] = self._node(whole, skipped, low)
                 node = child
             found.append(node[1])
         return list(chain.from_iterable(found))
