@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -23,6 +24,11 @@ GROUP_CHARS = 2_000_000
 #: Points after a plain letter. A token ends before them in any case, so a blank
 #: put there changes no id, and words with and without points share a chunk.
 _POINTS = re.compile(r"[.,;:!?%&](?<=[A-Za-z][.,;:!?%&])")
+#: Chunks that are one word to the tokenizer, and how the last token of a word ends.
+_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+WORD_END = "</w>"
+#: Words the tokenizer gets as one text.
+JOINED_WORDS = 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -36,6 +42,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memory: dict[str, bytes] = {"": b""}
+        self.ends = word_ends(self.tokenizer)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_POINTS.sub(r" \g<0>", t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
@@ -43,11 +50,55 @@ class Encoder:
         if len(memory) > REMEMBERED:
             memory.clear()
             memory[""] = b""
-        new = list({chunk for chunks in split for chunk in chunks if chunk not in memory})
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            memory[chunk] = np.array(found.ids, "<u4").tobytes()
+        new = set().union(*split).difference(memory)
+        if self.ends is not None:
+            new = self._learn_words(new)
+        self._learn(list(new))
         return [b"".join(map(memory.__getitem__, chunks)) for chunks in split]
 
+    def _learn(self, chunks: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        for chunk, one in zip(chunks, found, strict=True):
+            self.memory[chunk] = np.array(one.ids, "<u4").tobytes()
+
+    def _learn_words(self, chunks: set[str]) -> set[str]:
+        """Learn the chunks that are words, many at a call; the others are returned.
+
+        Case does not matter to the ids, and words that stand between blanks are
+        told apart in the ids of the whole by the tokens that end a word.
+        """
+        memory = self.memory
+        lower = {chunk: chunk.lower() for chunk in chunks if _WORD.fullmatch(chunk)}
+        words = list(set(lower.values()).difference(memory))
+        parts = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False)
+        for part, one in zip(parts, joined, strict=True):
+            ids = np.array(one.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part) or stops[-1] != len(ids):
+                self._learn(part)
+                continue
+            packed, at = ids.tobytes(), 0
+            for word, stop in zip(part, (4 * stops).tolist(), strict=True):
+                memory[word] = packed[at:stop]
+                at = stop
+        for chunk, word in lower.items():
+            memory[chunk] = memory[word]
+        return chunks.difference(lower)
+
+
+def word_ends(tokenizer) -> np.ndarray | None:  # noqa: ANN001
+    """Which ids end a word, if the tokenizer is one that lowers case and marks ends of words."""
+    told = json.loads(tokenizer.to_str())
+    steps = (told.get("normalizer") or {}).get("normalizers", [])
+    lowers = any(step["type"] == "Lowercase" for step in steps)
+    if not lowers or told["model"].get("end_of_word_suffix") != WORD_END:
+        return None
+    vocab = tokenizer.get_vocab()
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
+    return ends
+
 
 def groups(texts: list[str]) -> Iterator[list[str]]:
     """The texts in order, in groups of some ``GROUP_CHARS`` characters."""

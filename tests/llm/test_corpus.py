@@ -243,6 +243,28 @@ def test_packing_is_whole_and_tight(docs, no_docs, texts):
     assert packing.pack(no_docs, path).count() == 0
 
 
+def test_words_reach_the_tokenizer_together(texts):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path(WORD_TOKENIZER)
+    tokenizer, encoder = Tokenizer.from_file(path), packing.Encoder(path)
+    odd = ["İs ΑΣ É é e\u0301 ẞ ß don't DON'T 's </w> a</w> <|x|>,y", "aB-c ÀÖ×÷ÿ x1 2y ª", *(t or "" for t in texts.values())]
+    assert encoder.encode(odd) == [
+        np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd
+    ]
+    given: list[str] = []
+
+    class Told:
+        def encode_batch_fast(self, chunks, add_special_tokens):
+            given.extend(chunks)
+            return tokenizer.encode_batch_fast(chunks, add_special_tokens=add_special_tokens)
+
+    encoder.tokenizer = Told()
+    words = ["Word" + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(1000)]
+    encoder.encode([" ".join(words), " ".join(words).upper()])
+    assert len(given) <= 1000 // packing.JOINED_WORDS + 1
+
+
 def test_best_fit_equals_the_greedy_algorithm():
     rng = np.random.default_rng(3)
     for _ in range(20):
