@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ TRAINING_TEXTS = 3_000
 #: Counts a task holds before it hands them to Spark; chunks a worker remembers.
 HELD = 300_000
 REMEMBERED = 500_000
+#: Chunks of texts that are looked up together.
+GROUPED = 200_000
 #: Predicted for texts without letters.
 UNDETERMINED = "und"
 
@@ -126,68 +128,110 @@ def _weights(sums: DataFrame) -> DataFrame:
     )
 
 
-class _Places(dict):
-    """Places of chunks; a chunk that is new gets one when it is looked up."""
-
-    def __init__(self, place: Callable[[str], int]) -> None:
-        self.place = place
-
-    def __missing__(self, chunk: str) -> int:
-        return self.place(chunk)
-
-
 class Detector:
-    """Scores texts by the learned weights; remembers the scores of what it met."""
+    """Scores texts by the learned weights; remembers the scores of what it met.
 
-    def __init__(self, langs: list[str], tables: list[dict[str, np.ndarray]]) -> None:
-        self.langs, self.tables = langs, tables
+    ``words`` and ``grams`` give the rows of ``weights``, a column per language.
+    """
+
+    def __init__(self, langs: list[str], words: dict[str, int], grams: dict[str, int], weights: np.ndarray) -> None:
+        self.langs, self.words, self.grams = langs, words, grams
+        # One more row is what no n-gram is known of.
+        self.weights = np.vstack([weights, np.full(len(langs), UNSEEN)])
+        self.steps_down = np.zeros(len(self.weights))
+        for gram, row in grams.items():
+            self.steps_down[row] = BACKOFF * (LONGEST - len(gram))
         self.forget()
 
     def forget(self) -> None:
         """Empty the memory of chunks: their places, and per place scores and words."""
-        self.places = _Places(self._place)
+        self.places: dict[str, int] = {}
         self.scores = np.zeros((4096, len(self.langs) + 1))
 
-    def word_scores(self, word: str) -> np.ndarray:
-        """Log frequency per language of a word.
+    def _gram_rows(self, word: str) -> list[int]:
+        """Row of the longest known n-gram that starts at each place of a word."""
+        marked, get, last = f"<{word}>", self.grams.get, len(self.weights) - 1
+        rows = [get(marked[i : i + LONGEST], last) for i in range(len(marked))]
+        if last in rows:
+            for i in [i for i, row in enumerate(rows) if row == last]:
+                for n in range(min(LONGEST - 1, len(marked) - i), SHORTEST - 1, -1):
+                    if (row := get(marked[i : i + n])) is not None:
+                        rows[i] = row
+                        break
+        return rows
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """Log frequency per language of each word.
 
         A known word has its own. An unseen one has the mean over its places of
         the longest known n-gram that starts there, ``BACKOFF`` for each step down.
+        All unseen words are added up together, place by place.
         """
-        if (known := self.tables[0].get(word)) is not None:
-            return known
-        marked, total = f"<{word}>", np.zeros(len(self.langs))
-        for i in range(len(marked)):
-            for n in range(min(LONGEST, len(marked) - i), SHORTEST - 1, -1):
-                if (found := self.tables[n].get(marked[i : i + n])) is not None:
-                    total += found
-                    total += BACKOFF * (LONGEST - n)
-                    break
-            else:
-                total += UNSEEN
-        return total / len(marked) + BACKOFF * LONGEST
-
-    def _place(self, chunk: str) -> int:
-        """Place of a chunk between blanks, with the sum of the scores of its words."""
-        at = len(self.places)
-        if at == len(self.scores):
+        known = np.array([self.words.get(word, -1) for word in words], np.int64)
+        scores = self.weights[known]
+        unseen = np.flatnonzero(known < 0)
+        rows = [self._gram_rows(words[i]) for i in unseen.tolist()]
+        sizes = np.array([len(r) for r in rows], np.int64)
+        # The longest first: those that have a place are the first ones.
+        order = np.argsort(-sizes, kind="stable")
+        sizes, flat = sizes[order], np.array([row for i in order.tolist() for row in rows[i]], np.int64)
+        starts, total = np.cumsum(sizes) - sizes, np.zeros((len(order), len(self.langs)))
+        for place in range(sizes[0] if len(sizes) else 0):
+            have = np.searchsorted(-sizes, -place)
+            at = flat[starts[:have] + place]
+            total[:have] += self.weights[at]
+            total[:have] += self.steps_down[at, None]
+        scores[unseen[order]] = total / np.maximum(sizes, 1)[:, None] + BACKOFF * LONGEST
+        return scores
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Give each chunk between blanks a place, with the sum of the scores of its words."""
+        first = len(self.places)
+        self.places.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        while len(self.places) > len(self.scores):
             self.scores = np.vstack([self.scores, np.zeros_like(self.scores)])
-        for word in LETTERS.findall(chunk):
-            self.scores[at, :-1] += self.word_scores(word)
-            self.scores[at, -1] += 1
-        self.places[chunk] = at
-        return at
+        found = [LETTERS.findall(chunk) for chunk in chunks]
+        numbers: dict[str, int] = {}
+        flat = np.array([numbers.setdefault(w, len(numbers)) for ws in found for w in ws], np.int64)
+        counts = np.array([len(ws) for ws in found], np.int64)
+        scores = self.word_scores(list(numbers))
+        own, starts = self.scores[first : first + len(chunks)], np.cumsum(counts) - counts
+        own[:, -1] = counts
+        have, k = np.flatnonzero(counts), 0
+        while len(have):
+            own[have, :-1] += scores[flat[starts[have] + k]]
+            k += 1
+            have = have[counts[have] > k]
 
     def predict(self, text: str) -> tuple[str, float]:
-        """Language and its probability, from the mean scores of the words."""
-        total = np.zeros(len(self.langs) + 1)
-        chunks = text.lower().split()
-        for start in range(0, len(chunks), REMEMBERED):
-            if len(self.places) >= REMEMBERED:
-                self.forget()
-            part = chunks[start : start + REMEMBERED]
+        """Language of one text and its probability."""
+        return next(self.predict_all([text]))
+
+    def predict_all(self, texts: list[str]) -> Iterator[tuple[str, float]]:
+        """Language and its probability of each text, from the mean scores of its words."""
+        parts: list[tuple[int, list[str]]] = []
+        held, totals = 0, np.zeros((len(texts), len(self.langs) + 1))
+        for i, text in enumerate(texts):
+            chunks = text.lower().split()
+            for start in range(0, len(chunks), REMEMBERED):
+                parts.append((i, chunks[start : start + REMEMBERED]))
+                held += len(parts[-1][1])
+                if held >= GROUPED:
+                    self._add(parts, totals)
+                    parts, held = [], 0
+        self._add(parts, totals)
+        return map(self._best, totals)
+
+    def _add(self, parts: list[tuple[int, list[str]]], totals: np.ndarray) -> None:
+        """Add the scores of the chunks of texts to their totals; new chunks are scored together."""
+        if len(self.places) >= REMEMBERED:
+            self.forget()
+        self._learn(list(set().union(*(part for _, part in parts)).difference(self.places)))
+        for i, part in parts:
             rows = np.fromiter(map(self.places.__getitem__, part), np.intp, len(part))
-            total += self.scores.take(rows, axis=0).sum(axis=0)
+            totals[i] += self.scores.take(rows, axis=0).sum(axis=0)
+
+    def _best(self, total: np.ndarray) -> tuple[str, float]:
         words = total[-1]
         if not words or not self.langs:
             return UNDETERMINED, 0.0
@@ -203,13 +247,15 @@ def detector(model: DataFrame) -> Detector:
     rows = model.toArrow().to_pydict()
     langs = sorted(set(rows["lang"]))
     place = {lang: i for i, lang in enumerate(langs)}
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-    for lang, n, entry, weight in zip(rows["lang"], rows["n"], rows["entry"], rows["weight"], strict=True):
-        table = tables[n]
-        if entry not in table:
-            table[entry] = np.full(len(langs), UNSEEN)
-        table[entry][place[lang]] = weight
-    return Detector(langs, tables)
+    words: dict[str, int] = {}
+    grams: dict[str, int] = {}
+    at = [
+        (words if n == 0 else grams).setdefault(entry, len(words) + len(grams))
+        for n, entry in zip(rows["n"], rows["entry"], strict=True)
+    ]
+    weights = np.full((len(words) + len(grams), len(langs)), UNSEEN)
+    weights[at, [place[lang] for lang in rows["lang"]]] = rows["weight"]
+    return Detector(langs, words, grams, weights)
 
 
 def identify(
@@ -233,7 +279,8 @@ def identify(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            found = [model.predict(x or "") for x in batch.column(batch.schema.names.index(text)).to_pylist()]
+            column = batch.column(batch.schema.names.index(text)).to_pylist()
+            found = list(model.predict_all([x or "" for x in column]))
             yield pa.record_batch(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"],

@@ -297,6 +297,35 @@ def test_languages_on_held_out_rows(spark, no_docs):
     assert {r.lang_pred for r in languages.identify(frame, F.lit(False)).collect()} == {"und"}
 
 
+def test_unseen_words_are_scored_together(texts):
+    rng = np.random.default_rng(2)
+    known = {w: i for i, w in enumerate("the of and".split())}
+    marked = "".join(f"<{w}>" for t in texts.values() for w in (t or "").lower().split()[:40])
+    found = dict.fromkeys(marked[i : i + n] for n in (1, 2, 3, 4) for i in rng.integers(0, len(marked) - 4, 60))
+    grams = {g: len(known) + i for i, g in enumerate(found)}
+    weights = -rng.random((len(known) + len(grams), 3))
+    detector = languages.Detector(["a", "b", "c"], known, grams, weights)
+
+    def scored(word: str) -> np.ndarray:
+        if word in known:
+            return weights[known[word]]
+        text, total = f"<{word}>", np.zeros(3)
+        for i in range(len(text)):
+            rows = [(n, grams[text[i : i + n]]) for n in (4, 3, 2, 1) if i + n <= len(text) and text[i : i + n] in grams]
+            total += weights[rows[0][1]] + languages.BACKOFF * (4 - rows[0][0]) if rows else languages.UNSEEN
+        return total / len(text) + 4 * languages.BACKOFF
+
+    words = ["the", "", "x" * 90, "é", *{w for t in texts.values() for w in (t or "").lower().split()}]
+    assert np.allclose(detector.word_scores(words), [scored(w) for w in words], rtol=1e-12)
+    calls: list[int] = []
+    detector.word_scores = lambda ws, score=detector.word_scores: calls.append(len(ws)) or score(ws)
+    contents = [*(t or "" for t in texts.values()), "of-the_x qq-ww"]
+    together = list(detector.predict_all(contents))
+    assert len(calls) == 1
+    detector.forget()
+    assert together == [detector.predict(t) for t in contents]
+
+
 def test_language_model_scores(docs, no_docs, texts):
     held = crc_fold(F.col("doc_id"), 7) == 2
     rows = lm.score(docs, held).collect()
