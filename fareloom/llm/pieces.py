@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +18,34 @@ BLANK = "▁"
 #: Runs of the text that no merge crosses: blanks with the characters after them.
 _RUN = re.compile(rf"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
+#: Odd number that spreads steps and pairs over 64 bits.
+STEP_FACTOR = np.uint64(0xD6E8FEB86659FD93)
 #: Share of candidate merges that are skipped.
 DROPOUT = 0.1
-#: Steps of the agenda whose hashes are computed for all runs of a text at once,
-#: and for one run whose agenda takes more; no run of ``LONG_RUN`` characters or
-#: fewer takes as many as the latter.
-STEPS, MOST_STEPS = 16, 256
+#: More steps than the agenda of a run of ``LONG_RUN`` characters or fewer takes.
+MOST_STEPS = 256
 #: Runs of more characters keep their agenda as a heap, and are not remembered.
 LONG_RUN = 64
 OUT = float("inf")
-#: Segmentations a worker remembers, at most about 400 bytes each.
+#: Runs whose segmentation without skips a worker remembers, at most about 400 bytes each.
 REMEMBERED = 400_000
+#: Characters of texts that are encoded together, and entries of agendas that step together.
+GROUP_CHARS, ENTRIES = 1_000_000, 100_000
+#: Stands for no part.
+NONE = -1
+
+
+class _Numbers(dict):
+    """Numbers of parts; a character that no piece holds gets one when it is met."""
+
+    def __init__(self, parts: list[str]) -> None:
+        super().__init__(zip(parts, range(len(parts)), strict=True))
+        self.parts = parts
+
+    def __missing__(self, char: str) -> int:
+        self.parts.append(char)
+        self[char] = len(self.parts) - 1
+        return self[char]
 
 
 class PieceModel:
@@ -56,9 +73,138 @@ class PieceModel:
                 self.bytes_of.append(piece.replace(BLANK, " ").encode())
         if any(BLANK in piece.lstrip(BLANK) for piece in self.ids):
             raise ValueError("a piece holds a blank after other characters")
-        self.memory: dict[str, list] = {}
-        self.older: dict[str, list] = {}
-        self.nodes = 0
+        self._table_pairs()
+        self.forget()
+
+    def _table_pairs(self) -> None:
+        """Number the pieces and table, by hash, the pairs of parts that make them."""
+        self.piece_ids = np.array([*self.ids.values()], np.int32)
+        self.number = number = _Numbers([*self.ids])
+        # The last rank is that of no piece.
+        self.rank_of = np.array([self.ranks[piece] for piece in self.ids] + [OUT])
+        pairs = [
+            (number[piece[:k]] << 32 | number[piece[k:]], whole)
+            for whole, piece in enumerate([*self.ids])
+            for k in range(1, len(piece))
+            if (k == 1 or piece[:k] in number) and (k == len(piece) - 1 or piece[k:] in number)
+        ]
+        keys, wholes = np.array(pairs, np.int64).reshape(-1, 2).T
+        self.bits = len(pairs).bit_length() + 2
+        self.pair_keys, self.pair_wholes = (np.full(1 << self.bits, NONE, np.int64) for _ in range(2))
+        at = self._slots(keys)
+        while len(keys):
+            # Of the pairs that want a free slot one gets it; the others go on to the next.
+            free = self.pair_keys[at] == NONE
+            self.pair_keys[at[free]] = keys[free]
+            placed = self.pair_keys[at] == keys
+            self.pair_wholes[at[placed]] = wholes[placed]
+            keys, wholes, at = keys[~placed], wholes[~placed], (at[~placed] + 1) & ((1 << self.bits) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * STEP_FACTOR) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Number of the piece that each pair of parts makes, or ``NONE``."""
+        keys = left << 32 | right
+        at = self._slots(keys)
+        there = self.pair_keys[at]
+        found = np.where(there == keys, self.pair_wholes[at], NONE)
+        found[(left == NONE) | (right == NONE)] = NONE
+        open_ = np.flatnonzero((there != keys) & (there != NONE) & (left != NONE) & (right != NONE))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            there = self.pair_keys[at[open_]]
+            same = there == keys[open_]
+            found[open_[same]] = self.pair_wholes[at[open_[same]]]
+            open_ = open_[~same & (there != NONE)]
+        return found
+
+    def forget(self) -> None:
+        """Empty the memory of runs: their places, and per place steps, ids and where they are."""
+        self.places: dict[str, int] = {}
+        self.steps, self.sizes, self.starts = (np.empty(0, np.int64) for _ in range(3))
+        self.pool = np.empty(0, np.int32)
+
+    def segment_all(
+        self, runs: list[str], keys: np.ndarray | None = None, dropout: float = 0.0
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Steps taken and number of ids of each run, and their ids one after another.
+
+        As ``segment``, but runs of like length take their steps together. The skip of
+        a step is drawn from the key of the run; without keys there are none.
+        """
+        lengths = np.array([len(run) for run in runs], np.int64)
+        order = np.argsort(lengths, kind="stable")
+        ordered = lengths[order]
+        steps, sizes = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
+        found, at = [np.empty(0, np.int32)], 0
+        while at < len(order):
+            end = np.searchsorted(ordered, ordered[at] + 1, "right")
+            own = order[at : min(int(end), at + ENTRIES // (int(ordered[at]) + 2) + 1)]
+            drawn = None if keys is None else keys[own]
+            steps[own], sizes[own], ids = self._step_together([runs[i] for i in own.tolist()], drawn, dropout)
+            found.append(ids)
+            at += len(own)
+        starts = np.empty(len(runs), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return steps, sizes, np.concatenate(found)[ragged(starts, sizes)]
+
+    def _step_together(
+        self, runs: list[str], keys: np.ndarray | None, dropout: float
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Parts and the ranks of pairs lie in a row per run, whose last entry is no part.
+
+        A merged part stays in the place of its left side, and the place of the right
+        one is passed over from then on, so the order of places is that of the text.
+        """
+        n = len(runs)
+        lengths = np.array([len(run) for run in runs], np.int64)
+        wide = int(lengths.max()) + 1
+        parts = np.full((n, wide), NONE, np.int64)
+        parts[np.arange(wide) < lengths[:, None]] = [*map(self.number.__getitem__, "".join(runs))]
+        parts = parts.ravel()
+        after, before = np.arange(1, n * wide + 1), np.arange(-1, n * wide - 1)
+        before[::wide] += wide
+        whole = self._joined(parts, np.append(parts[1:], NONE))
+        agenda = self.rank_of[whole]
+        by_run = agenda.reshape(n, wide)
+        steps, live = np.zeros(n, np.int64), np.arange(n)
+        while len(live):
+            best = (by_run if len(live) == n else by_run[live]).argmin(axis=1) + live * wide
+            open_ = agenda[best] != OUT
+            live, best = live[open_], best[open_]
+            steps[live] += 1
+            if keys is not None:
+                out = skipped(keys[live], steps[live], dropout)
+                agenda[best[out]] = OUT
+                best = best[~out]
+            made, gone, left = whole[best], after[best], before[best]
+            right = after[gone]
+            parts[best], parts[gone], agenda[gone] = made, NONE, OUT
+            after[best], before[right] = right, best
+            changed = np.concatenate([best, left])
+            whole[changed] = self._joined(
+                np.concatenate([made, parts[left]]), np.concatenate([parts[right], made])
+            )
+            agenda[changed] = self.rank_of[whole[changed]]
+        kept = parts != NONE
+        sizes, flat = kept.reshape(n, wide).sum(axis=1), parts[kept]
+        spelled = np.flatnonzero(flat >= len(self.piece_ids))
+        ids = self.piece_ids[np.minimum(flat, len(self.piece_ids) - 1)]
+        if len(spelled):
+            # Characters that are no piece become their bytes.
+            as_bytes = [self._spelled(self.number.parts[x]) for x in flat[spelled].tolist()]
+            widths = np.ones(len(flat), np.int64)
+            widths[spelled] = [len(b) for b in as_bytes]
+            ends = np.cumsum(widths)
+            ids = np.repeat(ids, widths)
+            ids[ragged(ends[spelled] - widths[spelled], widths[spelled])] = np.concatenate(as_bytes)
+            run_ends = ends[np.cumsum(sizes) - 1]
+            sizes = np.diff(run_ends, prepend=0)
+        return steps, sizes, ids
+
+    def _spelled(self, text: str) -> list[int]:
+        return [self.byte_ids[b] for b in text.encode()]
 
     def segment(self, run: str, skipped: int) -> tuple[int, tuple[int, ...]]:
         """Steps taken and ids of a run: merges come from an agenda, best rank first.
@@ -132,91 +278,110 @@ class PieceModel:
         return tuple(spelled)
 
     def encode(self, text: str, row_key: int, dropout: float) -> list[int]:
-        """Ids of a text; a blank sign (U+2581) in the text itself is spelled in bytes.
+        """Ids of one text, see ``encode_all``."""
+        return next(self.encode_all([text], [row_key], dropout)).tolist()
 
-        Each run of the text has a key of its own, by ``row_key`` and its place.
-        """
-        if not text:
-            return []
-        if BLANK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-            # One blank before every run: runs are kept without it.
-            return self._encode_runs(text.split(" "), BLANK, 0, row_key, dropout)
-        ids: list[int] = []
-        spelled = [self.byte_ids[b] for b in BLANK.encode()]
-        at = 0
-        for k, part in enumerate(text.split(BLANK)):
-            if k:
-                ids.extend(spelled)
-            runs = _RUN.findall((BLANK if k == 0 else "") + part.replace(" ", BLANK))
-            ids.extend(self._encode_runs(runs, "", at, row_key, dropout))
-            at += len(runs)
-        return ids
-
-    def _node(self, whole: str, skipped: int, low: int) -> list:
-        """What is remembered of a run and its skips: steps that matter, ids, further skips.
-
-        Only bits of steps after the last skip, ``low``, and before the agenda is
-        empty can change the outcome.
+    def encode_all(self, texts: list[str], row_keys: list[int], dropout: float) -> Iterator[np.ndarray]:
+        """Ids of texts; a blank sign (U+2581) in a text itself is spelled in bytes.
+
+        Each run of a text has a key of its own, by the row key and its place.
         """
-        steps, ids = self.segment(whole, skipped)
-        self.nodes += 1
-        return [((1 << steps) - 1) & -(low << 1 or 1), ids, None]
-
-    def _first(self, whole: str) -> list:
-        """The run without skips, remembered or not."""
-        if (node := self.older.get(whole)) is None:
-            node = self._node(whole, 0, 0)
-        self.memory[whole] = node
-        return node
-
-    def _encode_runs(self, runs: list[str], lead: str, at: int, row_key: int, dropout: float) -> list[int]:
-        if not runs:
-            return []
-        if self.nodes >= REMEMBERED // 2:
-            # What is used from now on stays; the rest is forgotten the next time.
-            self.memory, self.older, self.nodes = {}, self.memory, 0
-        keys = _mixed(np.arange(at, at + len(runs), dtype=np.uint64) + np.uint64(row_key))
-        if dropout:
-            masks = np.packbits(skips(keys, 0, STEPS, dropout), axis=1, bitorder="little").view("<u2").ravel().tolist()
-        else:
-            masks = [0] * len(runs)
-        found = []
-        recall = self.memory.get
-        for i, (run, mask) in enumerate(zip(runs, masks, strict=True)):
-            whole = lead + run
-            if (node := recall(whole)) is None:
-                if len(whole) > LONG_RUN:
-                    found.append(self.segment_long(whole, int(keys[i]), dropout))
-                    continue
-                node = self._first(whole)
-            wide = not dropout
-            skipped = 0
-            while True:
-                if not wide and node[0] >> STEPS:
-                    flags = skips(keys[i : i + 1], 0, MOST_STEPS, dropout)[0]
-                    mask = int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
-                    wide = True
-                if not (hit := mask & node[0]):
-                    break
-                low = hit & -hit
-                skipped |= low
-                if (further := node[2]) is None:
-                    further = node[2] = {}
-                if (child := further.get(low)) is None:
-                    child = further[low] = self._node(whole, skipped, low)
-                node = child
-            found.append(node[1])
-        return list(chain.from_iterable(found))
+        group: list[tuple[list[str], int]] = []
+        held = 0
+        for text, row_key in zip(texts, row_keys, strict=True):
+            group.append((runs_of(text), row_key))
+            held += len(text)
+            if held >= GROUP_CHARS:
+                yield from self._encode_group(group, dropout)
+                group, held = [], 0
+        yield from self._encode_group(group, dropout)
+
+    def _learn(self, runs: set[str]) -> None:
+        """Remember runs without skips."""
+        if "" not in self.places:
+            # The empty run stands for a blank sign of the text.
+            self.places[""] = 0
+            self.pool = np.array(self._spelled(BLANK), np.int32)
+            self.steps, self.starts, self.sizes = (np.array([x]) for x in (0, 0, len(self.pool)))
+        new = [run for run in runs if run not in self.places and len(run) <= LONG_RUN]
+        steps, sizes, ids = self.segment_all(new)
+        self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+        self.starts = np.append(self.starts, len(self.pool) + np.cumsum(sizes) - sizes)
+        self.steps, self.sizes = np.append(self.steps, steps), np.append(self.sizes, sizes)
+        self.pool = np.append(self.pool, ids)
+
+    def _encode_group(self, group: list[tuple[list[str], int]], dropout: float) -> Iterator[np.ndarray]:
+        runs = [*chain.from_iterable(own for own, _ in group)]
+        distinct = set(runs)
+        new = distinct.difference(self.places)
+        if len(self.places) + len(new) > REMEMBERED:
+            self.forget()
+            new = distinct
+        self._learn(new)
+        known = np.fromiter(map(self.places.get, runs, repeat(NONE)), np.int64, len(runs))
+        counts = np.array([len(own) for own, _ in group], np.int64)
+        # The key of a run is drawn from its place among the runs of its text.
+        real = np.cumsum(known != self.places[""])
+        ends = np.append(0, real)[np.cumsum(counts) - counts]
+        place = (real - 1 - np.repeat(ends, counts)).astype(np.uint64)
+        keys = _mixed(place + np.repeat(np.array([key for _, key in group], np.uint64), counts))
+        steps, sizes, starts = self.steps[known], self.sizes[known], self.starts[known]
+        # Runs with a skip among the steps that they take without one.
+        hit = np.zeros(len(runs), bool)
+        open_, step = np.flatnonzero(known != NONE) if dropout else np.empty(0, np.int64), 0
+        while len(open_ := open_[steps[open_] > step]):
+            step += 1
+            out = skipped(keys[open_], np.full(len(open_), step), dropout)
+            hit[open_[out]] = True
+            open_ = open_[~out]
+        hits = np.flatnonzero(hit)
+        _, sizes[hits], drawn = self.segment_all([runs[i] for i in hits.tolist()], keys[hits], dropout)
+        starts[hits] = len(self.pool) + np.cumsum(sizes[hits]) - sizes[hits]
+        long = np.flatnonzero(known == NONE)
+        found = [self.segment_long(runs[i], int(keys[i]), dropout) for i in long.tolist()]
+        sizes[long] = [len(ids) for ids in found]
+        starts[long] = len(self.pool) + len(drawn) + np.cumsum(sizes[long]) - sizes[long]
+        pool = np.concatenate([self.pool, drawn, np.array([*chain.from_iterable(found)], np.int32)])
+        ids = pool[ragged(starts, sizes)]
+        cuts = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
+        for start, end in pairwise(cuts.tolist()):
+            yield ids[start:end]
 
     def decode(self, ids: list[int]) -> str:
         content = b"".join(map(self.bytes_of.__getitem__, ids))
         return content.decode("utf-8", "replace").removeprefix(" ")
 
 
+def runs_of(text: str) -> list[str]:
+    """Runs of a text that no merge crosses; empty ones stand for blank signs in it."""
+    if not text:
+        return []
+    if BLANK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+        # One blank before every run.
+        return (BLANK + text.replace(" ", f" {BLANK}")).split(" ")
+    runs: list[str] = []
+    for k, part in enumerate(text.split(BLANK)):
+        if k:
+            runs.append("")
+        runs += _RUN.findall((BLANK if k == 0 else "") + part.replace(" ", BLANK))
+    return runs
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of slices of an array, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def skipped(keys: np.ndarray, steps: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether a key skips the candidate of a step, by keyed hash."""
+    limit = np.uint64(dropout * (1 << 64) if dropout < 1 else (1 << 64) - 1)
+    return _mixed(keys ^ steps.astype(np.uint64) * STEP_FACTOR) < limit
+
+
 def skips(keys: np.ndarray, first: int, n: int, dropout: float) -> np.ndarray:
-    """Whether each key skips the candidate of each of ``n`` steps, by keyed hash."""
-    steps = np.arange(first + 1, first + n + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return _mixed(keys[:, None] ^ steps) < np.uint64(dropout * (1 << 64) if dropout < 1 else (1 << 64) - 1)
+    """Whether each key skips the candidate of each of ``n`` steps."""
+    return skipped(keys[:, None], np.arange(first + 1, first + n + 1), dropout)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -254,10 +419,9 @@ def encode_documents(
         for batch in batches:
             keys = batch.column(0).to_pylist()
             row_keys = [xxhash.xxh64_intdigest(f"{seed}/{k}".encode()) for k in keys]
-            values = [
-                None if content is None else np.array(model.encode(content, row, dropout), np.int32)
-                for content, row in zip(batch.column(1).to_pylist(), row_keys, strict=True)
-            ]
+            texts = batch.column(1).to_pylist()
+            found = model.encode_all([content or "" for content in texts], row_keys, dropout)
+            values = [None if content is None else ids for content, ids in zip(texts, found, strict=True)]
             ids = pa.array(values, pa.list_(pa.int32()))
             yield pa.record_batch([batch.column(0), ids], names=[key, "ids"])
 
@@ -291,13 +455,10 @@ def encode_and_check(docs: DataFrame, model_path: str, seed: int = 1, key: str =
         model = load(model_path)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            values, same = [], []
-            for k, content in zip(keys, texts, strict=True):
-                content = content or ""
-                row = xxhash.xxh64_intdigest(f"{seed}/{k}".encode())
-                ids = model.encode(content, row, DROPOUT)
-                same.append(model.decode(ids) == content)
-                values.append(np.array(ids, np.int32))
+            contents = [content or "" for content in texts]
+            row_keys = [xxhash.xxh64_intdigest(f"{seed}/{k}".encode()) for k in keys]
+            values = [*model.encode_all(contents, row_keys, DROPOUT)]
+            same = [model.decode(ids.tolist()) == content for ids, content in zip(values, contents, strict=True)]
             yield pa.record_batch(
                 [batch.column(0), pa.array(values, pa.list_(pa.int32())),
                  pa.array([len(v) for v in values], pa.int64()), pa.array(same, pa.bool_())],

@@ -197,6 +197,30 @@ def test_long_runs_are_segmented_alike():
         assert model.segment_long(run[:60], 5, 0.2) == model.segment(run[:60], skipped)[1]
 
 
+def test_runs_of_all_texts_step_together(texts, monkeypatch):
+    model = pieces.PieceModel(tokenizer_path(PIECE_MODEL))
+    monkeypatch.setattr(model, "segment", None)
+    contents = [*(t or "" for t in texts.values()), "a▁b  c ▁ ", "🙂é\n🙂ᚠ x", "long" * 30 + " ends"]
+    keys = [xxhash.xxh64_intdigest(b"%d" % i) for i in range(len(contents))]
+    found = [x.tolist() for x in model.encode_all(contents, keys, 0.3)]
+    monkeypatch.undo()
+    for text, key, ids in zip(contents, keys, found, strict=True):
+        expected: list[int] = []
+        place = 0
+        for run in pieces.runs_of(text):
+            if not run:
+                expected += model._spelled("▁")
+                continue
+            own = int(pieces._mixed(np.array([place], np.uint64) + np.uint64(key))[0])
+            flags = np.flatnonzero(pieces.skips(np.array([own], np.uint64), 0, pieces.MOST_STEPS, 0.3)[0]).tolist()
+            expected += model.segment(run, sum(1 << i for i in flags))[1]
+            place += 1
+        assert ids == expected and model.decode(ids) == text
+    # Whether runs are remembered or not changes nothing.
+    monkeypatch.setattr(pieces, "REMEMBERED", 1)
+    assert found == [model.encode(t, k, 0.3) for t, k in zip(contents, keys, strict=True)]
+
+
 def test_conversations_read_back(spark):
     said = ["", "\\", "</s>[INST] ok [/INST]", "a\\</s>", "<<SYS>> x", "[[INST] <s", "é\n"]
     rows = [(1, i, role, t) for i, (role, t) in enumerate(zip("user assistant system tool user assistant user".split(), said, strict=True))]
