@@ -375,6 +375,59 @@ def test_language_model_scores(docs, no_docs, texts):
     assert lm.score(no_docs, held).count() == 0
 
 
+def test_every_word_is_a_context_of_its_own(spark):
+    # More words than any small number of restaurants: each is followed by one of its own.
+    n, repeats = 1500, 4
+    rows = [(i, f"a{i} b{i} " * repeats, False) for i in range(n)]
+    others = {i: (i + 1) % n for i in range(n)}
+    rows += [(10_000 + i, f"a{i} b{i}", True) for i in range(n)] + [(20_000 + i, f"a{i} b{j}", True) for i, j in others.items()]
+    # Words that a hash to 1,024 contexts would take for one.
+    slots: dict[int, int] = {}
+    same = []
+    for i in range(n):
+        j = slots.setdefault(xxhash.xxh64_intdigest(f"a{i}".encode()) % 1024, i)
+        if j != i:
+            same.append((i, j))
+            rows.append((30_000 + i, f"a{i} b{j}", True))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, out boolean")
+    scores = {r.doc_id: r.score for r in lm.score(frame, F.col("out")).collect()}
+    assert len(scores) == len(rows) and len(same) > 300
+    for i, _ in same:
+        # The tokens around are alike, so a follower of another context is as unlikely as any.
+        assert scores[10_000 + i] - scores[30_000 + i] > 1
+        assert scores[30_000 + i] == pytest.approx(scores[20_000 + i], abs=0.5)
+
+
+def test_tables_of_contexts_are_added_up_over_all_buckets(docs, texts):
+    pairs: Counter = Counter()
+    for row in docs.collect():
+        found = [xxhash.xxh64_intdigest(w) for w in (row.text or "").encode().lower().split()]
+        pairs.update(zip([*found, int(lm.END)], [int(lm.END), *found], strict=True))
+    entries = lm.learn(docs, 16)
+    types = entries.agg(F.sum("n_types")).first()[0]
+    assert types == len({w for w, _ in pairs})
+    of_bucket = {r["_bucket"]: r for r in entries.collect()}
+    assert len(of_bucket) > 8
+    for told, seats, root_seats in lm.seatings(entries, 16, types):
+        tables, in_context, counts, customers, opened = Counter(), {}, {}, Counter(), {}
+        for row in told.where("_from = -1").collect():
+            own = of_bucket[row["_bucket"]]
+            words, contexts = (lm._unpacked(own[name], "<u8").tolist() for name in ("words", "contexts"))
+            word = np.repeat(words, lm._unpacked(own["sizes"], "<u4"))
+            context = [contexts[i] for i in lm._unpacked(own["places"], "<u4")]
+            in_context |= dict(zip(words, lm._unpacked(row["in_context"], "<u8").tolist(), strict=True))
+            opened |= dict(zip(words, lm._unpacked(row["opened"], "<u4").tolist(), strict=True))
+            seated = lm._unpacked(row["tables"], "<u4").tolist()
+            for w, u, c, t in zip(word.tolist(), context, lm._unpacked(own["counts"], "<u4").tolist(), seated, strict=True):
+                assert 1 <= t <= c
+                counts[w, u] = c
+                tables[u] += t
+                customers[w] += t
+        assert counts == pairs and in_context == tables
+        assert (seats, root_seats) == (sum(customers.values()), sum(opened.values()))
+        assert all(1 <= opened[w] <= customers[w] for w in customers)
+
+
 def test_reseating_keeps_to_the_bounds():
     rng = np.random.default_rng(1)
     counts = np.array([0, 1, 2, 5, 64, 65, 4000])
