@@ -73,6 +73,9 @@ class PieceModel:
                 self.bytes_of.append(piece.replace(BLANK, " ").encode())
         if any(BLANK in piece.lstrip(BLANK) for piece in self.ids):
             raise ValueError("a piece holds a blank after other characters")
+        self.byte_pool = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.byte_sizes = np.array([*map(len, self.bytes_of)], np.int64)
+        self.byte_starts = np.cumsum(self.byte_sizes) - self.byte_sizes
         self._table_pairs()
         self.forget()
 
@@ -80,6 +83,8 @@ class PieceModel:
         """Number the pieces and table, by hash, the pairs of parts that make them."""
         self.piece_ids = np.array([*self.ids.values()], np.int32)
         self.number = number = _Numbers([*self.ids])
+        #: Numbers of the characters met so far, by code point.
+        self.char_numbers = np.full(0x110000, NONE, np.int32)
         # The last rank is that of no piece.
         self.rank_of = np.array([self.ranks[piece] for piece in self.ids] + [OUT])
         pairs = [
@@ -108,9 +113,11 @@ class PieceModel:
         keys = left << 32 | right
         at = self._slots(keys)
         there = self.pair_keys[at]
-        found = np.where(there == keys, self.pair_wholes[at], NONE)
-        found[(left == NONE) | (right == NONE)] = NONE
-        open_ = np.flatnonzero((there != keys) & (there != NONE) & (left != NONE) & (right != NONE))
+        # No part makes a key below zero: that of a free slot, or of none, and both make no piece.
+        other = there != keys
+        found = self.pair_wholes[at]
+        found[other] = NONE
+        open_ = np.flatnonzero(other & (there != NONE) & (keys >= 0))
         while len(open_):
             at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
             there = self.pair_keys[at[open_]]
@@ -119,6 +126,15 @@ class PieceModel:
             open_ = open_[~same & (there != NONE)]
         return found
 
+    def _characters(self, text: str) -> np.ndarray:
+        """Numbers of the characters of a text."""
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        found = self.char_numbers[points]
+        if len(new := np.unique(points[found == NONE])):
+            self.char_numbers[new] = [self.number[chr(point)] for point in new.tolist()]
+            found = self.char_numbers[points]
+        return found
+
     def forget(self) -> None:
         """Empty the memory of runs: their places, and per place steps, ids and where they are."""
         self.places: dict[str, int] = {}
@@ -133,7 +149,7 @@ class PieceModel:
         As ``segment``, but runs of like length take their steps together. The skip of
         a step is drawn from the key of the run; without keys there are none.
         """
-        lengths = np.array([len(run) for run in runs], np.int64)
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
         order = np.argsort(lengths, kind="stable")
         ordered = lengths[order]
         steps, sizes = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
@@ -142,7 +158,7 @@ class PieceModel:
             end = np.searchsorted(ordered, ordered[at] + 1, "right")
             own = order[at : min(int(end), at + ENTRIES // (int(ordered[at]) + 2) + 1)]
             drawn = None if keys is None else keys[own]
-            steps[own], sizes[own], ids = self._step_together([runs[i] for i in own.tolist()], drawn, dropout)
+            steps[own], sizes[own], ids = self._step_together([runs[i] for i in own.tolist()], lengths[own], drawn, dropout)
             found.append(ids)
             at += len(own)
         starts = np.empty(len(runs), np.int64)
@@ -150,7 +166,7 @@ class PieceModel:
         return steps, sizes, np.concatenate(found)[ragged(starts, sizes)]
 
     def _step_together(
-        self, runs: list[str], keys: np.ndarray | None, dropout: float
+        self, runs: list[str], lengths: np.ndarray, keys: np.ndarray | None, dropout: float
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Parts and the ranks of pairs lie in a row per run, whose last entry is no part.
 
@@ -158,10 +174,9 @@ class PieceModel:
         one is passed over from then on, so the order of places is that of the text.
         """
         n = len(runs)
-        lengths = np.array([len(run) for run in runs], np.int64)
         wide = int(lengths.max()) + 1
         parts = np.full((n, wide), NONE, np.int64)
-        parts[np.arange(wide) < lengths[:, None]] = [*map(self.number.__getitem__, "".join(runs))]
+        parts[np.arange(wide) < lengths[:, None]] = self._characters("".join(runs))
         parts = parts.ravel()
         after, before = np.arange(1, n * wide + 1), np.arange(-1, n * wide - 1)
         before[::wide] += wide
@@ -296,6 +311,9 @@ class PieceModel:
                 group, held = [], 0
         yield from self._encode_group(group, dropout)
 
+    def _places_of(self, runs: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.places.get, runs, repeat(NONE)), np.int64, len(runs))
+
     def _learn(self, runs: set[str]) -> None:
         """Remember runs without skips."""
         if "" not in self.places:
@@ -312,13 +330,17 @@ class PieceModel:
 
     def _encode_group(self, group: list[tuple[list[str], int]], dropout: float) -> Iterator[np.ndarray]:
         runs = [*chain.from_iterable(own for own, _ in group)]
-        distinct = set(runs)
-        new = distinct.difference(self.places)
+        known = self._places_of(runs)
+        unknown = np.flatnonzero(known == NONE)
+        missed = [runs[i] for i in unknown.tolist()]
+        new = set(missed)
         if len(self.places) + len(new) > REMEMBERED:
             self.forget()
-            new = distinct
-        self._learn(new)
-        known = np.fromiter(map(self.places.get, runs, repeat(NONE)), np.int64, len(runs))
+            self._learn(set(runs))
+            known = self._places_of(runs)
+        else:
+            self._learn(new)
+            known[unknown] = self._places_of(missed)
         counts = np.array([len(own) for own, _ in group], np.int64)
         # The key of a run is drawn from its place among the runs of its text.
         real = np.cumsum(known != self.places[""])
@@ -347,8 +369,12 @@ class PieceModel:
         for start, end in pairwise(cuts.tolist()):
             yield ids[start:end]
 
-    def decode(self, ids: list[int]) -> str:
-        content = b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        ids = np.asarray(ids, np.int64)
+        content = b"".join(
+            self.byte_pool[ragged(self.byte_starts[own], self.byte_sizes[own])].tobytes()
+            for own in (ids[i : i + ENTRIES] for i in range(0, len(ids), ENTRIES))
+        )
         return content.decode("utf-8", "replace").removeprefix(" ")
 
 
@@ -458,7 +484,7 @@ def encode_and_check(docs: DataFrame, model_path: str, seed: int = 1, key: str =
             contents = [content or "" for content in texts]
             row_keys = [xxhash.xxh64_intdigest(f"{seed}/{k}".encode()) for k in keys]
             values = [*model.encode_all(contents, row_keys, DROPOUT)]
-            same = [model.decode(ids.tolist()) == content for ids, content in zip(values, contents, strict=True)]
+            same = [model.decode(ids) == content for ids, content in zip(values, contents, strict=True)]
             yield pa.record_batch(
                 [batch.column(0), pa.array(values, pa.list_(pa.int32())),
                  pa.array([len(v) for v in values], pa.int64()), pa.array(same, pa.bool_())],

@@ -197,6 +197,26 @@ def test_long_runs_are_segmented_alike():
         assert model.segment_long(run[:60], 5, 0.2) == model.segment(run[:60], skipped)[1]
 
 
+def test_a_character_is_looked_up_once_and_ids_are_decoded_together(monkeypatch):
+    model = pieces.PieceModel(tokenizer_path(PIECE_MODEL))
+    looked_up: list[str] = []
+
+    class Counting(pieces._Numbers):
+        def __getitem__(self, char):
+            looked_up.append(char)
+            return super().__getitem__(char)
+
+    monkeypatch.setattr(pieces, "ENTRIES", 50)
+    model.number.__class__ = Counting
+    content = " ".join(["the quick ¤ 日本 fox", "ox x\u00e9", "the fox"] * 40)
+    for dropout in (0.0, 0.5):
+        ids = model.encode(content, 3, dropout)
+        assert model.decode(ids) == model.decode(np.array(ids)) == content
+        assert b"".join(model.bytes_of[i] for i in ids).decode().removeprefix(" ") == content
+    assert model.decode([]) == ""
+    assert len(looked_up) == len(set(looked_up)) > 10
+
+
 def test_runs_of_all_texts_step_together(texts, monkeypatch):
     model = pieces.PieceModel(tokenizer_path(PIECE_MODEL))
     monkeypatch.setattr(model, "segment", None)
